@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marrow.llm import encode, stable_sample
+from marrow.llm import encode, stable_sample, token_budget
 from marrow.sources.tables import table
 
 
+def p6_reports(spark: SparkSession, d: str) -> DataFrame:
+    return token_budget.count_tokens(table(spark, d, "pilot_corpus"), "record_id")
+
+
+def p6_totals(spark: SparkSession, d: str) -> DataFrame:
+    reports = table(spark, d, "pilot_corpus")
+    return token_budget.totals(reports, p6_reports(spark, d), "record_id", ["lab_code", "lang", "cancer_type", "style"])
+
+
 def p7_sample(spark: SparkSession, d: str) -> DataFrame:
     rows = stable_sample.select(table(spark, d, "pilot_corpus").select("record_id", "report_id", "load_no"), "report_id", "load_no")
     return rows.select("record_id", "report_id", "load_no")
@@ -17,4 +26,4 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p7_sample": p7_sample, "p8_ids": p8_ids}
+QUERIES = {"p6_reports": p6_reports, "p6_totals": p6_totals, "p7_sample": p7_sample, "p8_ids": p8_ids}
