@@ -4,10 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marrow.llm import encode, stable_sample, token_budget
+from marrow.llm import canon, encode, quota, split, stable_sample, token_budget
 from marrow.sources.tables import table
 
 
+P1_FIELDS = ["primary_site", "histological_subtype", "tumor_grade", "specimen_type"]
+
+
+def p1_mapped(spark: SparkSession, d: str) -> DataFrame:
+    return canon.map_values(table(spark, d, "extractions"), table(spark, d, "canonical_terms"), "extraction_id", P1_FIELDS)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_mapped(spark, d).select("extraction_id", "field_name", "term_id")
+
+
+def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Values that mean no entry, by how often they occur."""
+    missed = p1_mapped(spark, d).where(F.col("term_id") == canon.NONE)
+    return missed.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return split.oversized(table(spark, d, "pilot_corpus"), table(spark, d, "split_specs"), "record_id")
+
+
+def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return split.split(table(spark, d, "pilot_corpus"), table(spark, d, "split_specs"), "record_id")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return quota.unmet(table(spark, d, "pilot_corpus"), table(spark, d, "sample_targets"))
+
+
+def p4_sample(spark: SparkSession, d: str) -> DataFrame:
+    return quota.sample(table(spark, d, "pilot_corpus"), table(spark, d, "sample_targets"))
+
+
 def p6_reports(spark: SparkSession, d: str) -> DataFrame:
     return token_budget.count_tokens(table(spark, d, "pilot_corpus"), "record_id")
 
@@ -26,4 +59,4 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p6_reports": p6_reports, "p6_totals": p6_totals, "p7_sample": p7_sample, "p8_ids": p8_ids}
+QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_sample": p4_sample, "p6_reports": p6_reports, "p6_totals": p6_totals, "p7_sample": p7_sample, "p8_ids": p8_ids}

@@ -1,6 +1,23 @@
 """SQL of the training-data queries that plain SQL can state."""
 
 SQL = {
+    "p2_found": """
+        SELECT s.spec_id, p.record_id
+        FROM pilot_corpus p, split_specs s
+        WHERE CASE WHEN s.unit = 'bytes' THEN strlen(p.text) ELSE length(p.text) END > s.max_size
+    """,
+    "p4_found": """
+        WITH labelled AS (
+          SELECT DISTINCT report_id, lower(regexp_replace(cancer_type, '^\\s+|\\s+$', '', 'g')) AS g,
+                 coalesce(nullif(lower(regexp_replace(style, '^\\s+|\\s+$', '', 'g')), ''), 'unknown') AS s
+          FROM pilot_corpus WHERE report_id IS NOT NULL
+        )
+        SELECT t.request_id, t.cancer_type, t.style
+        FROM sample_targets t
+        LEFT JOIN labelled l ON l.g = lower(trim(t.cancer_type)) AND (t.style = 'any' OR l.s = lower(trim(t.style)))
+        GROUP BY t.request_id, t.cancer_type, t.style, t.min_rows, t.target_share, t.sample_size
+        HAVING count(DISTINCT l.report_id) < greatest(t.min_rows, t.target_share * t.sample_size)
+    """,
     "p7_sample": """
         WITH seen AS (
           SELECT report_id, min(load_no) AS first_epoch FROM pilot_corpus
