@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marrow.llm import canon, encode, leak, quota, split, stable_sample, token_budget
+from marrow.llm import canon, encode, langid, leak, quota, split, stable_sample, token_budget
 from marrow.sources.tables import table
 
 
@@ -16,6 +16,14 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_spans(spark, d).select("doc_id", "item_id")
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return langid.relabelled(table(spark, d, "documents"), "doc_id").select("doc_id", "lang")
+
+
+def p10_segments(spark: SparkSession, d: str) -> DataFrame:
+    return langid.identify(table(spark, d, "documents"), "doc_id")
+
+
 P1_FIELDS = ["primary_site", "histological_subtype", "tumor_grade", "specimen_type"]
 
 
@@ -67,4 +75,4 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_sample": p4_sample, "p6_reports": p6_reports, "p6_totals": p6_totals, "p7_sample": p7_sample, "p8_ids": p8_ids, "p9_found": p9_found, "p9_spans": p9_spans}
+QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_sample": p4_sample, "p6_reports": p6_reports, "p6_totals": p6_totals, "p7_sample": p7_sample, "p8_ids": p8_ids, "p9_found": p9_found, "p9_spans": p9_spans, "p10_found": p10_found, "p10_segments": p10_segments}
