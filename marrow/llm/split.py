@@ -18,9 +18,10 @@ room for progress is an error; specifications are a small table (``MAX_SPECS`` r
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -31,12 +32,47 @@ MAX_SPECS = 1000
 WINDOW = 0.5
 #: Sentences on either side of a boundary whose words are compared.
 BLOCK = 4
+#: Boundaries whose similarity is computed at a time.
+STRETCH = 256
 
 _BOUNDARY = re.compile(r"\r?\n[ \t]*(?:\r?\n\s*)|\r\n?|\n|(?<=[.!?;:…。！？])[\"')\]]*\s+")
 _WORD = re.compile(r"\w{3,}")
 PIECES = "spec_id int, {key} {type}, piece_no int, start long, stop long, size long, text string"
 
 
+def valleys(units: list[list[str]]) -> np.ndarray:
+    """Depth of the similarity valley at each boundary between consecutive units.
+
+    Unit-by-unit products of word counts are summed to blocks by prefix sums, a stretch of
+    ``STRETCH`` units at a time, so any number of units needs bounded memory.
+    """
+    n = len(units)
+    scores = np.zeros(n - 1)
+    for at in range(0, n - 1, STRETCH):
+        first, last = max(0, at - BLOCK + 1), min(n, at + STRETCH + BLOCK)
+        ids: dict[str, int] = {}
+        rows, cols = [], []
+        for r, unit in enumerate(units[first:last]):
+            for w in unit:
+                rows.append(r)
+                cols.append(ids.setdefault(w, len(ids)))
+        bags = np.zeros((last - first, max(1, len(ids))), np.float32)
+        np.add.at(bags, (rows, cols), 1)
+        total = np.zeros((last - first + 1, last - first + 1))
+        total[1:, 1:] = (bags @ bags.T).cumsum(0).cumsum(1)
+        k = np.arange(at, min(n - 1, at + STRETCH)) - first + 1  # boundary after unit k - 1
+        lo, hi = np.maximum(k - BLOCK, 0), np.minimum(k + BLOCK, last - first)
+
+        def block(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, total: np.ndarray = total) -> np.ndarray:
+            return total[b, d] - total[a, d] - total[b, c] + total[a, c]
+
+        size = np.sqrt(block(lo, k, lo, k) * block(k, hi, k, hi))
+        scores[at : at + len(k)] = np.where(size > 0, block(lo, k, k, hi) / np.maximum(size, 1e-9), 0)
+    peaks = np.stack([np.concatenate([np.full(d, -1.0), scores[: len(scores) - d]]) for d in range(min(BLOCK, len(scores) - 1) + 1)]).max(0)
+    after = np.stack([np.concatenate([scores[d:], np.full(d, -1.0)]) for d in range(min(BLOCK, len(scores) - 1) + 1)]).max(0)
+    return peaks + after - 2 * scores
+
+
 def boundaries(text: str) -> list[tuple[int, float]]:
     """(offset, depth) of every sentence, line and paragraph end; offsets start the next unit."""
     marks = []
@@ -48,50 +84,28 @@ def boundaries(text: str) -> list[tuple[int, float]]:
     if not marks:
         return []
     edges = [0, *(at for at, _ in marks), len(text)]
-    bags = [Counter(w.lower() for w in _WORD.findall(text[a:b])) for a, b in zip(edges, edges[1:], strict=False)]
-    norms = None
-    out, left, right = [], Counter(), Counter()
-    for bag in bags[1 : 1 + BLOCK]:
-        right.update(bag)
-    left.update(bags[0])
-    scores = []
-    for i in range(len(marks)):
-        small, large = (left, right) if len(left) < len(right) else (right, left)
-        dot = sum(n * large[w] for w, n in small.items() if w in large)
-        norms = (sum(n * n for n in left.values()) * sum(n * n for n in right.values())) ** 0.5
-        scores.append(dot / norms if norms else 0.0)
-        # slide both blocks by one unit
-        left.update(bags[i + 1])
-        right.subtract(bags[i + 1])
-        if i + 1 + BLOCK < len(bags):
-            right.update(bags[i + 1 + BLOCK])
-        if i + 1 - BLOCK >= 0:
-            left.subtract(bags[i + 1 - BLOCK])
-        left, right = +left, +right
-    for i, (at, weight) in enumerate(marks):
-        before = max(scores[max(0, i - BLOCK) : i + 1])
-        after = max(scores[i : i + BLOCK + 1])
-        out.append((at, before + after - 2 * scores[i] + weight))
-    return out
-
-
-def cut_points(text: str, max_size: int, overlap: int, in_bytes: bool) -> list[tuple[int, int]]:
-    """(start, stop) code point offsets of the pieces of ``text``; one piece if it fits."""
-    if in_bytes:
-        width = [1 if c < "\x80" else 2 if c < "ࠀ" else 3 if c < "\U00010000" else 4 for c in text]
-        at = [0]
-        for w in width:
-            at.append(at[-1] + w)
-    else:
-        at = range(len(text) + 1)
-    from bisect import bisect_left, bisect_right
+    low = text.lower()
+    low = low if len(low) == len(text) else text
+    depth = valleys([_WORD.findall(low, a, b) for a, b in zip(edges, edges[1:], strict=False)])
+    return [(at, weight + d) for (at, weight), d in zip(marks, depth.tolist(), strict=True)]
 
+
+def byte_offsets(text: str) -> list[int]:
+    """Offset in UTF-8 bytes of every code point, and of the end."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    width = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+    return [0, *np.cumsum(width).tolist()]
+
+
+def cut_points(text: str, max_size: int, overlap: int, in_bytes: bool, marks: list[tuple[int, float]] | None = None) -> list[tuple[int, int]]:
+    """(start, stop) code point offsets of the pieces of ``text``; one piece if it fits."""
+    at = (range(len(text) + 1) if text.isascii() else byte_offsets(text)) if in_bytes else range(len(text) + 1)
     total = at[-1]
     if total <= max_size:
         return [(0, len(text))]
     if overlap * 2 > max_size or max_size < 8:
         raise ValueError("overlap_size must be at most half of max_size, and max_size at least 8")
-    marks = boundaries(text)
+    marks = boundaries(text) if marks is None else marks
     offsets = [m[0] for m in marks]
     pieces, start = [], 0
     while True:
@@ -140,8 +154,9 @@ def split(df: DataFrame, specs: DataFrame, key: str, text: str = "text") -> Data
         for batch in batches:
             for k, value in zip(batch["key"], batch["text"], strict=True):
                 rows = []
+                marks = boundaries(value)
                 for spec, unit, limit, overlap in rules:
-                    cuts = cut_points(value, limit, overlap, unit == "bytes")
+                    cuts = cut_points(value, limit, overlap, unit == "bytes", marks)
                     if len(cuts) > 1:
                         for no, (a, b) in enumerate(cuts, 1):
                             part = value[a:b]
