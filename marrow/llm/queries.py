@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marrow.llm import canon, encode, langid, leak, quota, split, stable_sample, token_budget
+from marrow.llm import canon, encode, langid, leak, ocr, quota, split, stable_sample, token_budget
 from marrow.sources.tables import table
 
 
@@ -57,6 +57,14 @@ def p4_sample(spark: SparkSession, d: str) -> DataFrame:
     return quota.sample(table(spark, d, "pilot_corpus"), table(spark, d, "sample_targets"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.find_noise(table(spark, d, "pilot_corpus"), table(spark, d, "labs"))
+
+
+def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return ocr.repair(table(spark, d, "pilot_corpus"), table(spark, d, "labs"))
+
+
 def p6_reports(spark: SparkSession, d: str) -> DataFrame:
     return token_budget.count_tokens(table(spark, d, "pilot_corpus"), "record_id")
 
@@ -75,4 +83,4 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_sample": p4_sample, "p6_reports": p6_reports, "p6_totals": p6_totals, "p7_sample": p7_sample, "p8_ids": p8_ids, "p9_found": p9_found, "p9_spans": p9_spans, "p10_found": p10_found, "p10_segments": p10_segments}
+QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_sample": p4_sample, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_reports": p6_reports, "p6_totals": p6_totals, "p7_sample": p7_sample, "p8_ids": p8_ids, "p9_found": p9_found, "p9_spans": p9_spans, "p10_found": p10_found, "p10_segments": p10_segments}
