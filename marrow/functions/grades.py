@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from marrow.functions.text import arabic_grades, plain_dashes, pylower, pystrip
+from marrow.functions.text import arabic_grades, let, plain_dashes, pylower, pystrip
 
 #: Wordings and the grade they state, tried in this order.
 WORDED = (
@@ -25,7 +25,10 @@ _NUMBER = r"(?U)\b(?:grade|nhg|g)\s*([1-4])\b"
 def parse_grade(c: Column) -> Column:
     """'G1' to 'G4', a range 'Ga-Gb', or NULL where no grade is stated."""
     text = pystrip(F.regexp_replace(c, r"(?U)\s*\([^)]*\)", ""))
-    key = arabic_grades(plain_dashes(pylower(text)))
+    return let(arabic_grades(plain_dashes(pylower(text))), _grade_of_key)
+
+
+def _grade_of_key(key: Column) -> Column:
     out = F.when(key.rlike(_RANGE), F.concat(F.lit("G"), F.regexp_extract(key, _RANGE, 1), F.lit("-G"), F.regexp_extract(key, _RANGE, 2)))
     for words, grade in WORDED:
         out = out.when(F.contains(key, F.lit(words)), F.lit(grade))
@@ -43,6 +46,9 @@ def grade_steps(token: Column) -> Column:
 
 def laterality(c: Column) -> Column:
     """'left', 'right' or 'bilateral' (also where both sides are named); NULL if no side is."""
-    low = pylower(c)
+    return let(pylower(c), _side_of)
+
+
+def _side_of(low: Column) -> Column:
     left, right, both = (low.rlike(rf"(?U)\b{w}\b") for w in ("left", "right", "bilateral"))
     return F.when(both | (left & right), "bilateral").when(left, "left").when(right, "right")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 #: The dashes that count as a hyphen.
@@ -11,6 +13,14 @@ _EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 PAREN_FREE = ("primary_site", "specimen_type")
 
 
+def let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``c`` with ``c`` evaluated once, however often ``body`` mentions it.
+
+    Without it a CASE chain over a long expression repeats that expression in every branch.
+    """
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
 def pystrip(c: Column) -> Column:
     """Strip every Unicode space at both ends; ``trim`` only knows U+0020."""
     return F.regexp_replace(c, _EDGE, "")
@@ -33,8 +43,8 @@ def normalize(c: Column, field: str | None = None) -> Column:
 
 def normalize_by(c: Column, field: Column) -> Column:
     """As ``normalize`` where the field name is itself a column (after an unpivot)."""
-    base = pylower(pystrip(c))
-    return F.when(field.isin(*PAREN_FREE), pystrip(F.regexp_replace(base, r"(?U)\s*\([^)]*\)", ""))).otherwise(base)
+    bare = lambda x: pystrip(F.regexp_replace(x, r"(?U)\s*\([^)]*\)", ""))
+    return let(pylower(pystrip(c)), lambda x: F.when(field.isin(*PAREN_FREE), bare(x)).otherwise(x))
 
 
 def plain_dashes(c: Column) -> Column:

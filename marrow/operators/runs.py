@@ -119,14 +119,14 @@ def rolling_history(runs: DataFrame, name: str, n_baseline: int = 5) -> DataFram
 
 
 def deltas(runs: DataFrame) -> DataFrame:
-    """(run_id, metric, current, previous, delta, better) against the finished run before, by end time."""
+    """(run_id, metric, current, previous, delta, change) against the finished run before, by end time."""
     w = W.partitionBy("experiment").orderBy("end_time", "run_id")
     done = runs.where("status = 'FINISHED'")
     wide = done.select("run_id", *[metric(m).alias(f"c{k}") for k, m in enumerate(DELTAS)], *[F.lag(metric(m)).over(w).alias(f"p{k}") for k, m in enumerate(DELTAS)])
     parts = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"c{k}").alias("current"), F.col(f"p{k}").alias("previous"), F.lit(up).alias("up")) for k, (m, up) in enumerate(DELTAS.items())])
     d = wide.select("run_id", F.explode(parts).alias("x")).select("run_id", "x.*").where("current is not null")
     delta = F.col("current") - F.col("previous")
-    return d.select("run_id", "metric", "current", "previous", delta.alias("delta"), F.when(delta != 0, (delta > 0) == F.col("up")).alias("better"))
+    return d.select("run_id", "metric", "current", "previous", delta.alias("delta"), F.when(delta.isNull(), "new").when(delta == 0, "same").when((delta > 0) == F.col("up"), "better").otherwise("worse").alias("change"))
 
 
 def compare_logged(recomputed: DataFrame, run: DataFrame, tolerance: float = 1e-3) -> DataFrame:

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marrow.functions.grades import grade_steps, laterality, parse_grade
+from marrow.functions.text import let
 from marrow.functions.vectors import cosine
 from marrow.operators.scoring import ratio, weight_of
 from marrow.plans.fields import CONCEPT_FIELDS, SEMANTIC_FIELDS
@@ -66,16 +67,19 @@ class LookupEmbedder:
 def rule_score(pred: Column, gold: Column, field: Column) -> Column:
     """Score of normalised values where a rule decides, -1.0 where embeddings must, NULL where a side is missing."""
     unify = lambda c: F.when((field == "histological_subtype") & c.isin(*UNSPECIFIED), F.lit("nst")).otherwise(c)
-    p, g = unify(pred), unify(gold)
-    gp, gg = parse_grade(p), parse_grade(g)
+    facts = F.struct(unify(pred).alias("p"), unify(gold).alias("g"), parse_grade(pred).alias("gp"), parse_grade(gold).alias("gg"), laterality(pred).alias("sp"), laterality(gold).alias("sg"), field.alias("field"))
+    return let(facts, _rule)
+
+
+def _rule(x: Column) -> Column:
+    p, g, gp, gg = x["p"], x["g"], x["gp"], x["gg"]
     grade = F.when(gp.isNull() | gg.isNull(), 0.0).when(gp == gg, 1.0).when(F.arrays_overlap(grade_steps(gp), grade_steps(gg)), 0.5).otherwise(0.0)
-    sides = laterality(p), laterality(g)
     return (
         F.when(p.isNull() | g.isNull(), None)
         .when(p == g, 1.0)
-        .when(field == "tumor_grade", grade)
-        .when((field == "primary_site") & sides[0].isNotNull() & sides[1].isNotNull() & (sides[0] != sides[1]), 0.0)
-        .when(~field.isin(*CONCEPT_FIELDS), 0.0)
+        .when(x["field"] == "tumor_grade", grade)
+        .when((x["field"] == "primary_site") & (x["sp"] != x["sg"]), 0.0)
+        .when(~x["field"].isin(*CONCEPT_FIELDS), 0.0)
         .otherwise(-1.0)
     )
 

@@ -1,15 +1,44 @@
-"""Registered queries of the core: callables over (spark, data folder) and their SQL."""
+"""Registered queries of the core: callables over (spark, data folder)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marrow.operators import profile
+from marrow.functions.grades import laterality, parse_grade
+from marrow.functions.text import normalize, pystrip
+from marrow.functions.vectors import cosine
+from marrow.functions.vocab import vocab_flags
+from marrow.operators import compare, extract, profile, prompts, runs, sampling, scoring, semantic, tiers, validate
+from marrow.plans.fields import FIELDS, column_of
 from marrow.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+_six = lambda *names: {n: F.round(n, 6) for n in names}
+
+
+def _preds(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "extractions")
+
+
+def _golds(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "gold_records")
+
+
+def _row(df: DataFrame) -> Column:
+    """An order of rows that doesn't depend on where they lie."""
+    return F.to_json(F.struct(*df.columns))
+
+
+def _embedder(spark: SparkSession, d: str) -> semantic.LookupEmbedder:
+    """Vectors of the embeddings table, by a plain function of the string; for checks only."""
+    return semantic.LookupEmbedder(table(spark, d, "embeddings"), "vec_id", "embedding", (F.char_length("value") * 31 + F.ascii("value")) % 500)
+
+
+def _units(spark: SparkSession) -> DataFrame:
+    """Neutral price table: one unit a million tokens in, four out."""
+    return spark.createDataFrame([("gpt-4o", 1.0, 4.0), ("o4-mini", 1.0, 4.0)], "model string, input_price double, output_price double")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -20,4 +49,277 @@ def p3_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.profile(table(spark, d, "extractions"))
 
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p3_profile": p3_profile}
+def field_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.field_metrics(_preds(spark, d), _golds(spark, d)).withColumns(_six("precision", "recall", "f1", "exact_match", "null_accuracy"))
+
+
+def aggregate_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.aggregate_metrics(_preds(spark, d), _golds(spark, d)).withColumns(_six("weighted_f1", "mean_f1", "mean_exact_match", "hallucination_rate"))
+
+
+def stratified_by_type(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.stratified_metrics(_preds(spark, d), _golds(spark, d), "cancer_type").withColumns(_six("weighted_f1", "mean_f1", "mean_exact_match", "hallucination_rate"))
+
+
+def stratified_by_style(spark: SparkSession, d: str) -> DataFrame:
+    corpus = table(spark, d, "pilot_corpus").withColumn("style", F.lower(pystrip(F.col("style"))))
+    golds = scoring.attach_style(_golds(spark, d), scoring.style_lookup(corpus, "record_id"))
+    return scoring.stratified_metrics(_preds(spark, d), golds, "style").withColumns(_six("weighted_f1", "mean_f1", "mean_exact_match", "hallucination_rate"))
+
+
+def quality_rates(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.quality_rates(_preds(spark, d), ["load_no"]).withColumns(_six("pass_rate", "hallucination_rate", "m_null_rate"))
+
+
+def field_null_rates(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.field_null_rates(_preds(spark, d), ["model"])
+
+
+def tier_records(spark: SparkSession, d: str) -> DataFrame:
+    return tiers.classify(_preds(spark, d)).select("extraction_id", "tier")
+
+
+def tier_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return tiers.tier_distribution(_preds(spark, d), ["model"]).withColumns(_six("tier_1_rate", "tier_2_rate", "tier_3_rate"))
+
+
+def vocab_flags_query(spark: SparkSession, d: str) -> DataFrame:
+    flags = vocab_flags(F.col("tnm_stage.T"), F.col("tnm_stage.N"), F.col("tnm_stage.M"), F.col("tumor_grade"))
+    return _preds(spark, d).select("extraction_id", F.array_join(flags, "; ").alias("flags"), F.size(flags).cast("bigint").alias("n_flags"))
+
+
+def normalized_fields(spark: SparkSession, d: str) -> DataFrame:
+    return _preds(spark, d).select("extraction_id", *[normalize(F.col(f), f).alias(column_of(f)) for f in FIELDS])
+
+
+def grade_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return _preds(spark, d).groupBy("tumor_grade").agg(F.count(F.lit(1)).alias("n")).select("tumor_grade", parse_grade(F.col("tumor_grade")).alias("grade"), "n")
+
+
+def site_sides(spark: SparkSession, d: str) -> DataFrame:
+    return _preds(spark, d).groupBy("primary_site").agg(F.count(F.lit(1)).alias("n")).select("primary_site", laterality(F.col("primary_site")).alias("side"), "n")
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.field_pairs(scoring.last_by(_preds(spark, d), "report_id", "extraction_id"), scoring.last_by(_golds(spark, d), "report_id", F.lit(1)))
+
+
+def semantic_rules(spark: SparkSession, d: str) -> DataFrame:
+    pairs = _pairs(spark, d).where(F.col("field").isin(*semantic.SEMANTIC_FIELDS))
+    return pairs.select("report_id", "field", "pred", "gold", semantic.rule_score(F.col("pred"), F.col("gold"), F.col("field")).alias("score"))
+
+
+def semantic_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return semantic.semantic_metrics(semantic.score_pairs(_pairs(spark, d), _embedder(spark, d))).withColumns(_six("mean_similarity", "mean_similarity_complete"))
+
+
+def semantic_metrics_ngram(spark: SparkSession, d: str) -> DataFrame:
+    return semantic.semantic_metrics(semantic.score_pairs(_pairs(spark, d), semantic.NgramEmbedder())).withColumns(_six("mean_similarity", "mean_similarity_complete"))
+
+
+def combined_score(spark: SparkSession, d: str) -> DataFrame:
+    pairs = _pairs(spark, d)
+    sims = semantic.semantic_metrics(semantic.score_pairs(pairs, _embedder(spark, d)))
+    return semantic.combined_score(scoring.score_fields(pairs), sims).join(semantic.mean_of_scored(sims)).withColumns(_six("combined_score", "mean_similarity"))
+
+
+def embedding_cosine(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
+    return e.join(nxt, "vec_id").select("vec_id", F.round(cosine(F.col("embedding"), F.col("other")), 6).alias("cosine"))
+
+
+def comparison_matrix(spark: SparkSession, d: str) -> DataFrame:
+    traits = spark.createDataFrame([("llama3.2", True)], "model string, trait boolean")
+    return compare.comparison_matrix(_preds(spark, d), _golds(spark, d), _embedder(spark, d), _units(spark), traits)
+
+
+def cost_per_record(spark: SparkSession, d: str) -> DataFrame:
+    return compare.cost_per_model(_preds(spark, d), _units(spark)).withColumns(_six("cost_per_record", "total_cost"))
+
+
+def run_counters(spark: SparkSession, d: str) -> DataFrame:
+    return extract.run_counters(_preds(spark, d), ["run_id"]).withColumns(_six("avg_latency_ms", "mean_input_tokens", "mean_output_tokens", "pass_rate"))
+
+
+def drift_tier1(spark: SparkSession, d: str) -> DataFrame:
+    return runs.tier1_drift(table(spark, d, "run_log")).withColumns(_six("current", "baseline"))
+
+
+def drift_pass_rate(spark: SparkSession, d: str) -> DataFrame:
+    return runs.pass_rate_drift(table(spark, d, "run_log")).withColumns(_six("current", "baseline"))
+
+
+def hallucination_alert(spark: SparkSession, d: str) -> DataFrame:
+    return runs.flag_rate_alert(table(spark, d, "run_log"))
+
+
+def drift_null_rates(spark: SparkSession, d: str) -> DataFrame:
+    rates = scoring.field_null_rates(_preds(spark, d), ["run_id"])
+    logged = F.map_from_arrays(F.array(*[F.lit(c) for c in rates.columns[1:]]), F.array(*rates.columns[1:])).alias("_rates")
+    log = table(spark, d, "run_log").join(rates.select("run_id", logged), "run_id", "left")
+    return runs.null_rate_drift(log.withColumn("metrics", F.coalesce(F.col("_rates"), F.col("metrics"))).drop("_rates"))
+
+
+def drift_usage(spark: SparkSession, d: str) -> DataFrame:
+    return runs.usage_drift(table(spark, d, "run_log"))
+
+
+def run_alerts(spark: SparkSession, d: str) -> DataFrame:
+    return runs.all_alerts(table(spark, d, "run_log"))
+
+
+def rolling_pass_rate(spark: SparkSession, d: str) -> DataFrame:
+    return runs.rolling_history(table(spark, d, "run_log"), "pass_rate").withColumns(_six("value", "baseline", "delta"))
+
+
+def run_deltas(spark: SparkSession, d: str) -> DataFrame:
+    return runs.deltas(table(spark, d, "run_log")).withColumns(_six("current", "previous", "delta"))
+
+
+def recompute_check(spark: SparkSession, d: str) -> DataFrame:
+    """Recomputed pass rates of all runs against the logged ones."""
+    again = extract.run_counters(_preds(spark, d), ["run_id"]).select("run_id", F.col("pass_rate").alias("recomputed"))
+    logged = table(spark, d, "run_log").select("run_id", runs.metric("pass_rate").alias("logged"))
+    both = again.join(logged, "run_id", "left")
+    return both.select("run_id", *[F.round(c, 6).alias(c) for c in ("recomputed", "logged")], F.coalesce(F.abs(F.col("recomputed") - F.col("logged")) < 1e-3, F.lit(False)).alias("matches"))
+
+
+def resume_remaining(spark: SparkSession, d: str) -> DataFrame:
+    return extract.remaining(table(spark, d, "pilot_corpus").select("record_id", "report_id"), _preds(spark, d))
+
+
+def dedup_first(spark: SparkSession, d: str) -> DataFrame:
+    return extract.deduplicated(_preds(spark, d).select("report_id", "extraction_id", "validation_status"), "extraction_id")
+
+
+def dedup_last(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.last_by(_preds(spark, d).select("report_id", "extraction_id", "validation_status"), "report_id", "extraction_id")
+
+
+def style_lookup(spark: SparkSession, d: str) -> DataFrame:
+    return scoring.style_lookup(table(spark, d, "pilot_corpus"), "record_id")
+
+
+def style_attach(spark: SparkSession, d: str) -> DataFrame:
+    lookup = scoring.style_lookup(table(spark, d, "pilot_corpus"), "record_id")
+    return scoring.attach_style(_preds(spark, d).select("extraction_id", "report_id"), lookup)
+
+
+TEMPLATE = "Read the report.\n<<output_skeleton>>\n\nPATHOLOGY REPORT:\n<<report_text>>\n"
+
+
+def prompt_build(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "pilot_corpus").select("record_id", "text")
+    filled = prompts.fill(F.col("text"), "Read.\n\nPATHOLOGY REPORT:\n<<report_text>>\n", "## Example 1")
+    return docs.select("record_id", filled.alias("prompt"))
+
+
+def prompt_tokens(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "pilot_corpus").select("record_id", "report_id", "text")
+    built = prompts.build_prompts(docs, TEMPLATE)
+    counted = built.withColumn("n_tokens", prompts.count_tokens("prompt"))
+    return counted.select("record_id", "truncated", "n_tokens", prompts.context_overflow(F.col("n_tokens"), "ollama:llama3.2").alias("ctx_overflow"))
+
+
+def dev_subset(spark: SparkSession, d: str) -> DataFrame:
+    corpus = table(spark, d, "pilot_corpus").select("record_id", "report_id", "cancer_type", "style")
+    return sampling.dev_subset(scoring.first_by(corpus, "report_id", "record_id"), 40, 42)
+
+
+def _replies(spark: SparkSession, d: str) -> DataFrame:
+    """Replies made from the posts' ids, one of ten kinds each."""
+    docs = table(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("report_id"), F.lit("BRCA").alias("cancer_type"))
+    kinds = [
+        "I cannot extract this.",
+        '{"tnm_stage": "not-an-object"}',
+        '{"tnm_stage": {"T": 42}}',
+        '{"tnm_stage": {"T": "banana", "N": "pN0"}, "tumor_grade": "Grade II-III"}',
+        '```json\n{"tnm_stage": {"T": "pT2", "N": "pN0(i-)(sn)", "M": null}, "tumor_grade": "G2"}\n```',
+        'Here it is: {"primary_site": "breast"} as asked',
+        '{"primary_site": null, "tumor_grade": "weird"}',
+        '{"tnm_stage": {"T": "ypT2", "N": "pN01", "M": "M7"}, "tumor_grade": "x"}',
+        '{"primary_site": true}',
+        '{"tnm_stage": {"T": "pT4b(mult)", "N": "pN1mi", "M": "pM0"}}',
+    ]
+    text = F.get(F.array(*[F.lit(k) for k in kinds]), (F.col("doc_id") % 10).cast("int"))
+    return docs.withColumn("raw_text", text)
+
+
+def parse_validate_status(spark: SparkSession, d: str) -> DataFrame:
+    done = validate.validate(_replies(spark, d))
+    return done.select("report_id", "validation_status", F.size("vocab_flags").cast("bigint").alias("n_flags"), F.col("tnm_stage.T").alias("t"), "tumor_grade")
+
+
+def failed_replies(spark: SparkSession, d: str) -> DataFrame:
+    """Stored failures, judged again: what is wrong with each."""
+    raw = _preds(spark, d).where("raw_text is not null")
+    hint = validate.correction(F.col("raw_text"))
+    return raw.select("extraction_id", "validation_status", validate.parse_json(F.col("raw_text")).isNotNull().alias("is_json"), hint.isNotNull().alias("asks_again"))
+
+
+def correction_messages(spark: SparkSession, d: str) -> DataFrame:
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    errors = validate.schema_errors(validate.parse_json(F.col("raw_text")))
+    return _replies(spark, d).select("report_id", F.coalesce(F.array_join(errors, "\n"), F.lit("no json")).alias("errors"))
+
+
+def extract_replay(spark: SparkSession, d: str) -> DataFrame:
+    """A whole run over the reports, answered from stored replies, validated."""
+    corpus = table(spark, d, "pilot_corpus").select("record_id", F.col("record_id").cast("string").alias("report_id"), "cancer_type", "text")
+    built = prompts.build_prompts(corpus.withColumn("text", F.coalesce("text", F.lit(""))), TEMPLATE).drop("text")
+    stored = '{"primary_site": "breast", "tumor_grade": "G2", "tnm_stage": {"T": "pT2", "N": "pN0"}}'
+
+    class Always:
+        def respond(self, key: str, prompt: str, attempt: int) -> extract.Reply:
+            return extract.Reply("no json" if attempt == 1 and int(key) % 7 == 0 else stored, len(prompt) // 4, 40, 5.0)
+
+    replies = extract.call_models(built, Always, correct=extract.json_problem)
+    return extract.as_results(validate.validate(replies)).select("report_id", "validation_status", "primary_site", "output_tokens")
+
+
+QUERIES: dict[str, Query] = {
+    "p3_found": p3_found,
+    "p3_profile": p3_profile,
+    "field_metrics": field_metrics,
+    "aggregate_metrics": aggregate_metrics,
+    "stratified_by_type": stratified_by_type,
+    "stratified_by_style": stratified_by_style,
+    "quality_rates": quality_rates,
+    "field_null_rates": field_null_rates,
+    "tier_records": tier_records,
+    "tier_distribution": tier_distribution,
+    "vocab_flags": vocab_flags_query,
+    "normalized_fields": normalized_fields,
+    "grade_tokens": grade_tokens,
+    "site_sides": site_sides,
+    "semantic_rules": semantic_rules,
+    "semantic_metrics": semantic_metrics,
+    "semantic_metrics_ngram": semantic_metrics_ngram,
+    "combined_score": combined_score,
+    "embedding_cosine": embedding_cosine,
+    "comparison_matrix": comparison_matrix,
+    "cost_per_record": cost_per_record,
+    "run_counters": run_counters,
+    "drift_tier1": drift_tier1,
+    "drift_pass_rate": drift_pass_rate,
+    "hallucination_alert": hallucination_alert,
+    "drift_null_rates": drift_null_rates,
+    "drift_usage": drift_usage,
+    "run_alerts": run_alerts,
+    "rolling_pass_rate": rolling_pass_rate,
+    "run_deltas": run_deltas,
+    "recompute_check": recompute_check,
+    "resume_remaining": resume_remaining,
+    "dedup_first": dedup_first,
+    "dedup_last": dedup_last,
+    "style_lookup": style_lookup,
+    "style_attach": style_attach,
+    "prompt_build": prompt_build,
+    "prompt_tokens": prompt_tokens,
+    "dev_subset": dev_subset,
+    "parse_validate_status": parse_validate_status,
+    "failed_replies": failed_replies,
+    "correction_messages": correction_messages,
+    "extract_replay": extract_replay,
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marrow.plans import core_queries
+from marrow.plans import core_queries, core_sql
 
 
 def queries() -> dict[str, core_queries.Query]:
@@ -10,4 +10,4 @@ def queries() -> dict[str, core_queries.Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(core_sql.SQL)
