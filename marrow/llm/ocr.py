@@ -157,7 +157,8 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
                 two.update(zip(words, words[1:], strict=False))
                 if len(one) + len(two) > FLUSH:
                     yield flush()
-        yield flush()
+        if one:
+            yield flush()
 
     counted = df.select(F.col(f"`{text}`").alias("text")).where("text is not null").mapInPandas(count, "a string, b string, n long")
     return counted.groupBy("a", "b").agg(F.sum("n").alias("n"))

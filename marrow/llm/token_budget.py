@@ -137,7 +137,8 @@ def distinct_chunks(df: DataFrame, text: str) -> DataFrame:
                 if len(seen) >= FLUSH:
                     yield pd.DataFrame({"chunk": list(seen)})
                     seen.clear()
-        yield pd.DataFrame({"chunk": list(seen)})
+        if seen:
+            yield pd.DataFrame({"chunk": list(seen)})
 
     return df.select(F.col(f"`{text}`").alias("text")).where("text is not null").mapInPandas(collect, "chunk string").distinct()
 
@@ -164,7 +165,8 @@ def count_tokens(df: DataFrame, key: str, text: str = "text", path: str = BYTE_B
         for batch in batches:
             for k, t in zip(batch["key"], batch["text"], strict=True):
                 n = Counter(chunker.keys(t) if isinstance(t, str) else [])
-                yield pd.DataFrame({"key": k, "chunk": list(n), "n": list(n.values())})
+                if n:
+                    yield pd.DataFrame({"key": k, "chunk": list(n), "n": list(n.values())})
 
     hits = docs.mapInPandas(each, f"key {dict(docs.dtypes)['key']}, chunk string, n long").join(counts, "chunk")
     found = hits.groupBy("key").agg(F.sum(F.col("n") * F.col("tokens")).alias("n_tokens"))
