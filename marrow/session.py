@@ -39,3 +39,13 @@ def cut(df: DataFrame) -> DataFrame:
         shared = sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="marrow-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where a small input lies in fewer partitions than there are cores.
+
+    Only for scans ahead of work that is heavy per row; a large input has many partitions
+    and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
