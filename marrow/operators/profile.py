@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from marrow.functions.text import pystrip
 from marrow.functions.vocab import grade_ok, tnm_ok
+from marrow.session import cut
 
 #: Entries that stand for "not known", compared stripped and lower case.
 STAND_INS = (
@@ -104,7 +105,7 @@ def find_drift(
     error over all comparisons together. Of several findings the first of missing,
     pattern, mix is given.
     """
-    counts = value_counts(df, load, checks).where("load_no is not null")
+    counts = cut(value_counts(df, load, checks).where("load_no is not null"))  # small; read three times below
     n = F.col("n")
     per_load = counts.groupBy("column_name", "load_no").agg(
         F.sum("n").alias("n_rows"),
