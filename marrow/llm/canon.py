@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marrow.operators.bounded import collect_bounded
 from marrow.operators.profile import STAND_INS
+from marrow.session import spread
 
 MAX_TERMS = 1_000_000
 NONE = "none"
@@ -195,17 +196,17 @@ class Mapper:
 
     def similarity(self, tokens: list[str], key: tuple[str, ...]) -> float:
         weight = [weigh(w) for w in key]
-        pairs, spread = [], {}
+        pairs, several = [], {}
         for i, t in enumerate(tokens):
             for j, w in enumerate(key):
                 s = likeness(t, w)
                 if s > 0:
                     pairs.append((s, i, j))
             if t in self.initials[key] and len(t) > 1:
-                spread[i] = self.initials[key][t]
+                several[i] = self.initials[key][t]
         used_i, used_j, matched = set(), set(), 0.0
         size = sum(weigh(t) for t in tokens)
-        for i, js in spread.items():
+        for i, js in several.items():
             if not used_j & set(js) and not any(p[0] == 1.0 and p[1] == i for p in pairs):
                 used_i.add(i)
                 used_j |= set(js)
@@ -266,7 +267,7 @@ def map_values(df: DataFrame, terms: DataFrame, key: str, fields: list[str]) ->
             forms[r["field_name"]] += [(r["term_id"], x) for x in [r["term"], *(r["synonyms"] or [])] if x]
     exact = df.sparkSession.createDataFrame([(f, x) for f in fields for x in {x for _, x in forms[f]}], "field_name string, value string")
     pairs = ", ".join(f"'{f}', cast(`{f}` as string)" for f in fields)
-    cells = df.selectExpr(f"`{key}` as key", f"stack({len(fields)}, {pairs}) as (field_name, value)").where(r"value is not null and value rlike '(?U)[^\\s\\x1c-\\x1f]'")
+    cells = spread(df.select(*dict.fromkeys([key, *fields]))).selectExpr(f"`{key}` as key", f"stack({len(fields)}, {pairs}) as (field_name, value)").where(r"value is not null and value rlike '(?U)[^\\s\\x1c-\\x1f]'")
     open_cells = cells.join(F.broadcast(exact), ["field_name", "value"], "left_anti")
     shared = df.sparkSession.sparkContext.broadcast(forms)
 

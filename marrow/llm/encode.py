@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from marrow.llm.vocab import BYTE_BPE_50K, PATTERN, byte_chars, read_ranks
+from marrow.session import spread
 
 #: Pre-tokens kept per Python worker; the store is emptied when full, which only costs time.
 CACHE_ENTRIES = 300_000
@@ -105,4 +106,4 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str = BYTE
                 found += encoder.encode_many(texts[k : k + 64])
             yield pd.Series(found, dtype=object)
 
-    return df.withColumn(out, ids(F.col(f"`{text}`")))
+    return spread(df).withColumn(out, ids(F.col(f"`{text}`")))

@@ -30,6 +30,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from marrow.session import spread
+
 LANGUAGES = ("en", "de", "es", "fr", "pt", "it", "nl")
 #: Common forms of each code, lower case, without region.
 ALIASES = {
@@ -290,7 +292,7 @@ def identify(df: DataFrame, key: str, text: str = "text", label: str = "lang", p
     """(key, label, segment_no, lang, n_words, confidence, passage) of every segment of every text."""
     prototypes = prototypes or fit_prototypes(df, key, text, label)
     shared = df.sparkSession.sparkContext.broadcast((prototypes.vectors, prototypes.margin))
-    body = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label"), F.col(f"`{text}`").alias("text")).where("text is not null")
+    body = spread(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label"), F.col(f"`{text}`").alias("text"))).where("text is not null")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Judge(*shared.value)

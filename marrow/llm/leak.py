@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from marrow.operators.bounded import collect_bounded
+from marrow.session import spread
 
 MAX_ITEMS = 200_000
 SEED = 3
@@ -191,6 +192,6 @@ def find_leaks(df: DataFrame, items: DataFrame, key: str, text: str = "text", it
             rows = [(k, *hit) for k, t in zip(batch["key"], batch["text"], strict=True) for hit in finder.find(t)]
             yield pd.DataFrame(rows, columns=["key", "item_id", "start", "stop", "n_words", "n_matched"])
 
-    body = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).where("text is not null")
+    body = spread(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))).where("text is not null")
     kind = dict(body.dtypes)["key"]
     return body.mapInPandas(scan, f"key {kind}, item_id long, start long, stop long, n_words int, n_matched int").withColumnRenamed("key", key)

@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from marrow.operators.bounded import collect_bounded
+from marrow.session import cut, spread
 
 MAX_NAMES = 10_000
 #: Words and bigrams rarer than this share of all words are no evidence.
@@ -160,14 +161,12 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
         if one:
             yield flush()
 
-    counted = df.select(F.col(f"`{text}`").alias("text")).where("text is not null").mapInPandas(count, "a string, b string, n long")
+    counted = spread(df.select(F.col(f"`{text}`").alias("text"))).where("text is not null").mapInPandas(count, "a string, b string, n long")
     return counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def corpus_model(df: DataFrame, text: str = "text") -> tuple[dict[str, int], dict[tuple[str, str], int], int]:
     """Counts of frequent words and pairs, and the number of all words."""
-    from marrow.session import cut
-
     counts = cut(count_words(df, text))
     total = counts.where("b is null").agg(F.sum("n")).first()[0] or 0
     least = max(LEAST_COUNT, math.ceil(LEAST_SHARE * total))
@@ -369,7 +368,7 @@ def _prepared(df: DataFrame, names: DataFrame, name: str, text: str) -> tuple:
 def find_noise(df: DataFrame, names: DataFrame, key: str = "record_id", own_id: str = "report_id", text: str = "text", name: str = "lab_name") -> DataFrame:
     """(key, line_no, noise) of every noisy line; a line can be broken_word and misread."""
     shared = _prepared(df, names, name, text)
-    body = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{own_id}`").alias("own"), F.col(f"`{text}`").alias("text")).where("text is not null")
+    body = spread(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{own_id}`").alias("own"), F.col(f"`{text}`").alias("text"))).where("text is not null")
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = _reader(*shared.value)
@@ -388,7 +387,7 @@ def find_noise(df: DataFrame, names: DataFrame, key: str = "record_id", own_id:
 def repair(df: DataFrame, names: DataFrame, key: str = "record_id", own_id: str = "report_id", text: str = "text", name: str = "lab_name") -> DataFrame:
     """(key, text) with page matter removed, words whole, misread words repaired; clean texts unchanged."""
     shared = _prepared(df, names, name, text)
-    body = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{own_id}`").alias("own"), F.col(f"`{text}`").alias("text"))
+    body = spread(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{own_id}`").alias("own"), F.col(f"`{text}`").alias("text")))
 
     def mend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = _reader(*shared.value)

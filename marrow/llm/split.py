@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from marrow.operators.bounded import collect_bounded
+from marrow.session import spread
 
 MAX_SPECS = 1000
 #: A piece ends in the last part of its window, so that pieces stay near the limit.
@@ -148,7 +149,7 @@ def split(df: DataFrame, specs: DataFrame, key: str, text: str = "text") -> Data
         too_large = too_large | (size[unit] > min(m for _, u, m, _ in rules if u == unit))
     kind = dict(df.dtypes)[key]
     # the size test needs whole texts once; rows that fit every limit never leave the JVM
-    large = df.select(F.col(f"`{key}`").alias("key"), body.alias("text")).where(body.isNotNull() & too_large)
+    large = spread(df.select(*dict.fromkeys([key, text]))).select(F.col(f"`{key}`").alias("key"), body.alias("text")).where(body.isNotNull() & too_large)
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

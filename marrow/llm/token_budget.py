@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marrow.functions.text import pystrip
 from marrow.llm.vocab import BYTE_BPE_50K, PATTERN, read_ranks
-from marrow.session import cut
+from marrow.session import cut, spread
 
 #: Distinct chunks a Python worker holds before it passes them on.
 FLUSH = 200_000
@@ -140,12 +140,12 @@ def distinct_chunks(df: DataFrame, text: str) -> DataFrame:
         if seen:
             yield pd.DataFrame({"chunk": list(seen)})
 
-    return df.select(F.col(f"`{text}`").alias("text")).where("text is not null").mapInPandas(collect, "chunk string").distinct()
+    return spread(df.select(F.col(f"`{text}`").alias("text"))).where("text is not null").mapInPandas(collect, "chunk string").distinct()
 
 
 def count_tokens(df: DataFrame, key: str, text: str = "text", path: str = BYTE_BPE_50K, broadcast_chunks: int = 600_000) -> DataFrame:
     """(key, n_tokens) of each row of ``df``; ``key`` must be unique."""
-    docs = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    docs = spread(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")))
     counts = cut(chunk_tokens(distinct_chunks(df, text), path))
     schema = f"key {dict(docs.dtypes)['key']}, n_tokens long"
     if counts.count() <= broadcast_chunks:
