@@ -19,11 +19,14 @@ understood, lines are counted at "\\n".
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -33,7 +36,8 @@ from marrow.session import cut, spread
 MAX_NAMES = 10_000
 #: Words and bigrams rarer than this share of all words are no evidence.
 LEAST_SHARE, LEAST_COUNT = 2e-6, 3
-FLUSH = 150_000
+#: Words a Python worker gathers before it counts them.
+FLUSH = 3_000_000
 #: A word this many times rarer than a word it may be a misreading of is suspect.
 SUSPECT = 30
 #: Longer runs of signs are no words.
@@ -56,6 +60,7 @@ _PAGE = re.compile(
 _BARE = re.compile(r"\s*[\dlIO|]{1,4}\s*")
 _NUMBER = re.compile(r"(?=.*\d)(?=.*[lIO|])[\dlIO|]+(?:[.,][\dlIO|]+)?")
 _WORD = re.compile(r"[^\W\d_]{2}")
+_DIGIT = re.compile(r"\d").search
 
 
 def _real(line: str) -> str:
@@ -76,40 +81,63 @@ class Pages:
                     for a, b in ((0, half), (half, len(w))) if half else ((0, len(w)),):
                         parts.setdefault(w[a:b], []).append((k, m.start() + a))
         self.parts = parts
-        self.hit = re.compile("|".join(re.escape(p) for p in sorted(parts, key=len, reverse=True))).finditer if parts else lambda _: iter(())
+        import ahocorasick
+
+        self.automaton = ahocorasick.Automaton()
+        for part in parts:
+            self.automaton.add_word(part, part)
+        if parts:
+            self.automaton.make_automaton()
+
+    def headers(self, lines: list[str], own_id: str | None) -> set[int]:
+        """Lines that hold a known name or the own id, up to misread characters, and little besides."""
+        out: set[int] = set()
+        short = [i for i, x in enumerate(lines) if 5 < len(x) <= 200]
+        low = [lines[i].strip().lower() for i in short]
+        whole = "\n".join(low)
+        if own_id and len(own_id) >= 8:
+            own = own_id.lower()
+            if own in whole:
+                out |= {i for i, x in zip(short, low, strict=True) if own in x and len(x) - len(own) <= 60}
+            least, most = len(own) - 1, len(own) + 4
+            out |= {i for i, x in zip(short, low, strict=True) if least <= len(x) <= most and _DIGIT(x) and self._is_id(x, own)}
+        if self.parts:
+            starts = None
+            for end, part in self.automaton.iter(whole):
+                if starts is None:
+                    starts = [0, *itertools.accumulate(len(x) + 1 for x in low)]
+                k = bisect_right(starts, end) - 1
+                if short[k] not in out and len(low[k]) <= 120 and self._named(low[k], end - starts[k], part):
+                    out.add(short[k])
+        return out
 
-    def is_header(self, line: str, own_id: str | None) -> bool:
-        low = line.strip().lower()
-        if not low or len(low) > 120:
-            return False
-        if own_id and len(own_id) >= 8 and self._is_id(low, own_id.lower()):
-            return True
-        for m in self.hit(low):
-            for k, offset in self.parts[m.group()]:
-                name = self.names[k]
-                at = m.start() - offset
-                for shift in (0, -1, 1):
-                    a = max(0, at + shift)
-                    seen = low[a : a + len(name)]
-                    if len(seen) >= len(name) - 2 and sum(x != y for x, y in zip(seen, name, strict=False)) + abs(len(name) - len(seen)) <= 0.25 * len(name) and len(low) - len(name) <= 45:
-                        return True
+    def _named(self, line: str, end: int, part: str) -> bool:
+        spare = len(line)
+        for k, offset in self.parts[part]:
+            name = self.names[k]
+            at = end + 1 - len(part) - offset
+            if at >= 0 and spare - len(name) <= 45 and line.startswith(name, at):
+                return True
+            for shift in (0, -1, 1):
+                a = max(0, at + shift)
+                seen = line[a : a + len(name)]
+                if len(seen) >= len(name) - 2 and spare - len(name) <= 45 and sum(x != y for x, y in zip(seen, name, strict=False)) + abs(len(name) - len(seen)) <= 0.25 * len(name):
+                    return True
         return False
 
     @staticmethod
     def _is_id(line: str, own_id: str) -> bool:
-        """The id, or the id alone with up to two misread characters, and little besides."""
-        if own_id in line:
-            return len(line) - len(own_id) <= 60
+        """The id alone, with up to two misread characters."""
         spare = len(line) - len(own_id)
         return -1 <= spare <= 4 and any(sum(x != y for x, y in zip(line[a:], own_id, strict=False)) <= 2 for a in range(max(spare, 0) + 1))
 
     def find(self, lines: list[str], own_id: str | None) -> dict[int, str]:
         """Index of each line of page matter, and which kind it is."""
-        out = {i: "running_header" for i, line in enumerate(lines) if self.is_header(line, own_id)}
+        out = dict.fromkeys(self.headers(lines, own_id), "running_header")
         marked, bare = [], []
         for i, line in enumerate(lines):
             s = line.strip()
-            if s and i not in out and len(s) <= 24 and _PAGE.fullmatch(s) and any(c in "0123456789lIO|" for c in s):
+            if 0 < len(s) <= 24 and i not in out and _PAGE.fullmatch(s) and any(c in "0123456789lIO|" for c in s):
                 (bare if _BARE.fullmatch(s) else marked).append(i)
         for i in marked:
             out[i] = "page_number"
@@ -140,25 +168,30 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
     """(a, b, n): counts of words (b is null) and of pairs of neighbours in a line, over all texts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        one: Counter[str] = Counter()
-        two: Counter[tuple[str, str]] = Counter()
+        ids: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        held: list[np.ndarray] = []
+        size = 0
 
         def flush() -> pd.DataFrame:
-            out = pd.DataFrame(
-                {"a": [*one, *(a for a, _ in two)], "b": [*([None] * len(one)), *(b for _, b in two)], "n": [*one.values(), *two.values()]},
-            )
-            one.clear()
-            two.clear()
+            # words are counted as they stand and stripped once each
+            plain = np.array([w.strip(_EDGES) for w in ids] or [""], dtype=object)
+            n = np.bincount(np.concatenate(held), minlength=len(ids))
+            pairs, m = np.unique(np.concatenate([x[:-1] << 32 | x[1:] for x in held]), return_counts=True)
+            out = pd.DataFrame({"a": np.concatenate([plain, plain[pairs >> 32]]), "b": np.concatenate([np.full(len(plain), None, dtype=object), plain[pairs & 0xFFFFFFFF]]), "n": np.concatenate([n, m])})
+            held.clear()
             return out
 
         for batch in batches:
             for value in batch["text"]:
-                words = [w.strip(_EDGES) for w in value.split()]
-                one.update(words)
-                two.update(zip(words, words[1:], strict=False))
-                if len(one) + len(two) > FLUSH:
+                words = value.split()
+                if words:
+                    held.append(np.fromiter(map(ids.__getitem__, words), np.int64, len(words)))
+                    size += len(words)
+                if size > FLUSH:
                     yield flush()
-        if one:
+                    size = 0
+                    ids = defaultdict(itertools.count().__next__)
+        if held:
             yield flush()
 
     counted = spread(df.select(F.col(f"`{text}`").alias("text"))).where("text is not null").mapInPandas(count, "a string, b string, n long")
@@ -266,6 +299,23 @@ class Reader:
 
     def __init__(self, pages: Pages, channel: Channel):
         self.pages, self.channel = pages, channel
+        self.trusted: set[str] = set()
+
+    def _doubtful(self, tokens: list[str]) -> bool:
+        """Whether a token may be misread; trusted ones are remembered as they stand."""
+        if self.trusted.issuperset(tokens):
+            return False
+        doubt = False
+        for t in tokens:
+            if t not in self.trusted:
+                core = t.strip(_EDGES)
+                if core and self.channel.candidates(core):
+                    doubt = True
+                else:
+                    if len(self.trusted) > 300_000:
+                        self.trusted.clear()
+                    self.trusted.add(t)
+        return doubt
 
     def read(self, text: str, own_id: str | None) -> tuple[dict[int, set[str]], list[str | None]]:
         """(kinds of noise by line index, repaired lines; None for page matter)."""
@@ -317,9 +367,9 @@ class Reader:
                 # a line may have given its first word away and still end in a broken one
                 now = fixed[i] = now[start:].lstrip() if now.startswith(plain[i][:start]) else now
             tokens = now.split(" ")
-            cores = [t.strip(_EDGES) for t in tokens]
-            if not any(c and channel.candidates(c) for c in cores):
+            if not self._doubtful(tokens):
                 continue
+            cores = [t.strip(_EDGES) for t in tokens]
             words = [c for c in cores if c]
             decoded = iter(channel.decode(words))
             out = []
