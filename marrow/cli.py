@@ -67,7 +67,7 @@ def gold_metrics(preds: DataFrame, golds: DataFrame, with_similarity: bool, orde
     rolled = scoring.roll_up(fields).collect()[0]
     out |= {"weighted_f1": round(rolled["weighted_f1"], 4), "mean_f1": round(rolled["mean_f1"], 4)}
     if with_similarity:
-        pairs = scoring.field_pairs(scoring.last_by(preds, "report_id", order), scoring.last_by(golds, "report_id", F.lit(1)))
+        pairs = scoring.field_pairs(scoring.last_by(scoring.slim(preds, order), "report_id", order), scoring.last_gold(golds, None))
         sims = semantic.semantic_metrics(semantic.score_pairs(pairs, semantic.NgramEmbedder())).cache()
         rows = sims.collect()
         for r in rows:

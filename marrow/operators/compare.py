@@ -39,9 +39,10 @@ def comparison_matrix(
     models is small and checked.
     """
     models = [r[0] for r in collect_bounded(preds.select("model").where("model is not null").distinct(), MAX_MODELS, "the list of models")]
-    gold = scoring.last_by(golds, "report_id", gold_order if gold_order is not None else F.lit(1))
+    gold = scoring.last_gold(golds, gold_order)
     each = gold.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models]) if models else F.expr("cast(array() as array<string>)")))
-    pred = preds.where("model is not null").groupBy("model", "report_id").agg(F.max_by(F.struct(*[c for c in preds.columns if c not in ("model", "report_id")]), order).alias("r")).select("model", "report_id", "r.*")
+    few = scoring.slim(preds.where("model is not null"), "model", order)
+    pred = few.groupBy("model", "report_id").agg(F.max_by(F.struct(*[c for c in few.columns if c not in ("model", "report_id")]), order).alias("r")).select("model", "report_id", "r.*")
     pairs = scoring.field_pairs(pred, each, ["model"], ["model", "report_id"])
     fields = scoring.score_fields(pairs, ["model"])
     sims = semantic.semantic_metrics(semantic.score_pairs(pairs, embedder), ["model"])

@@ -29,6 +29,27 @@ def first_by(df: DataFrame, key: str, order: str | Column) -> DataFrame:
     return df.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), order).alias("_row")).select("_row.*")
 
 
+def slim(df: DataFrame, *more: str) -> DataFrame:
+    """Only what scoring reads, so that wide records are neither scanned nor shuffled."""
+    plain = [f for f in FIELDS if "." not in f]
+    names = dict.fromkeys(["report_id", *more, *plain, "validation_status", "hallucination_flags"])
+    stage = F.struct(*[F.col(f"tnm_stage.{n}").alias(n) for n in ("T", "N", "M")]).alias("tnm_stage")
+    return df.select(*[c for c in names if c in df.columns], stage)
+
+
+def any_order(df: DataFrame) -> Column:
+    """An order of rows by what they hold, the same wherever they lie."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+
+
+def last_gold(golds: DataFrame, order: Column | None, *more: str) -> DataFrame:
+    """One gold row a report: the last by ``order``, without one the largest by content."""
+    if order is not None:
+        return slim(last_by(golds, "report_id", order), *more)
+    few = slim(golds, *more)
+    return last_by(few, "report_id", any_order(few))
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, and 0.0 where b is 0 or NULL."""
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
@@ -79,9 +100,8 @@ def score_fields(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def field_metrics(preds: DataFrame, golds: DataFrame, order: str = "extraction_id", gold_order: Column | None = None) -> DataFrame:
     """One row per field; ``n_predictions`` counts all predicted reports."""
-    gold = last_by(golds, "report_id", gold_order if gold_order is not None else F.lit(1))
     n = preds.agg(F.count_distinct("report_id"))
-    return score_fields(field_pairs(last_by(preds, "report_id", order), gold)).withColumn("n_predictions", n.scalar())
+    return score_fields(field_pairs(last_by(slim(preds, order), "report_id", order), last_gold(golds, gold_order))).withColumn("n_predictions", n.scalar())
 
 
 def weight_of(field: Column) -> Column:
@@ -138,8 +158,8 @@ def stratified_metrics(preds: DataFrame, golds: DataFrame, stratum: str, order:
     if stratum not in ("cancer_type", "style"):
         raise ValueError(f"Unsupported stratum {stratum!r}")
     marked = golds.withColumn("stratum", F.coalesce(F.col(stratum), F.lit("unknown")))
-    gold = last_by(marked, "report_id", gold_order if gold_order is not None else F.lit(1))
-    pred = last_by(preds, "report_id", order)
+    gold = last_gold(marked, gold_order, "stratum")
+    pred = last_by(slim(preds, order), "report_id", order)
     rolled = roll_up(score_fields(field_pairs(pred, gold, ["stratum"]), ["stratum"]), ["stratum"])
     sizes = marked.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_records"))
     ok = passed(F.col("validation_status"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marrow.functions.grades import laterality, parse_grade
 from marrow.functions.text import normalize, pystrip
@@ -26,11 +26,6 @@ def _golds(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "gold_records")
 
 
-def _row(df: DataFrame) -> Column:
-    """An order of rows that doesn't depend on where they lie."""
-    return F.to_json(F.struct(*df.columns))
-
-
 def _embedder(spark: SparkSession, d: str) -> semantic.LookupEmbedder:
     """Vectors of the embeddings table, by a plain function of the string; for checks only."""
     return semantic.LookupEmbedder(table(spark, d, "embeddings"), "vec_id", "embedding", (F.char_length("value") * 31 + F.ascii("value")) % 500)
@@ -101,7 +96,8 @@ def site_sides(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    return scoring.field_pairs(scoring.last_by(_preds(spark, d), "report_id", "extraction_id"), scoring.last_by(_golds(spark, d), "report_id", F.lit(1)))
+    preds = scoring.slim(_preds(spark, d), "extraction_id")
+    return scoring.field_pairs(scoring.last_by(preds, "report_id", "extraction_id"), scoring.last_gold(_golds(spark, d), None))
 
 
 def semantic_rules(spark: SparkSession, d: str) -> DataFrame:
