@@ -250,7 +250,7 @@ class Channel:
                 for v in self._once(u):
                     if v not in out and v != word and self.words.get(v, 0) >= need * 3 and _WORD.search(v):
                         out[v] = 2 * MISREAD
-        return sorted(out.items(), key=lambda x: -self.words[x[0]])[:8]
+        return sorted(out.items(), key=lambda x: -self.words[x[0]])
 
     def _next(self, a: str | None, b: str) -> float:
         known = self.words.get(b, 0.02)
