@@ -174,27 +174,39 @@ class Prototypes:
         label = np.array([code[c] for _, c in data])
         sure = np.arange(len(data)) >= len(passages)
         letters = Letters()
-        grams: dict[str, np.ndarray] = {}
+        known: dict[str, np.ndarray] = {}
         bundles = np.zeros((len(data), DIMENSIONS), np.float32)
         for i, (words, _) in enumerate(data):
-            bag = Counter(g for w in words for g in ngrams(w))
-            for g in bag:
-                if g not in grams:
-                    grams[g] = letters.ngram(g)
-            bundles[i] = np.fromiter(bag.values(), np.float32, len(bag)) @ np.stack([grams[g] for g in bag]).astype(np.float32)
+            for w in words:
+                v = known.get(w)
+                if v is None:
+                    if len(known) >= 8000:
+                        known.clear()
+                    bag = ngrams(w)
+                    v = known[w] = np.fromiter(bag.values(), np.float32, len(bag)) @ np.stack([letters.ngram(g) for g in bag]).astype(np.float32)
+                bundles[i] += v
         bundles /= np.linalg.norm(bundles, axis=1, keepdims=True) + 1e-9
-        trusted = np.ones(len(data), bool)
+        # the bundled sums of each language, freed of what the languages' texts have in common
+        weight = (1 / np.sqrt(np.bincount(label, minlength=len(LANGUAGES)) + 5.0))[label].astype(np.float32)
+        target = np.where(np.arange(len(LANGUAGES)) == label[:, None], 1.0, -1.0 / (len(LANGUAGES) - 1)).astype(np.float32)
+        gram = np.zeros((DIMENSIONS, DIMENSIONS), np.float32)
+        sums = np.zeros((DIMENSIONS, len(LANGUAGES)), np.float32)
+        trusted = np.zeros(len(data), bool)
+        now = np.ones(len(data), bool)
         for _ in range(rounds):
-            # the bundled sums of each language, freed of what the languages' texts have in common
-            share = np.bincount(label[trusted], minlength=len(LANGUAGES)) + 5.0
-            weight = np.where(trusted, 1 / np.sqrt(share[label]), 0).astype(np.float32)[:, None]
-            target = np.where(np.arange(len(LANGUAGES)) == label[:, None], 1.0, -1.0 / (len(LANGUAGES) - 1)).astype(np.float32)
-            x = bundles * weight
-            gram = sum(bundles[a : a + 2000].T @ x[a : a + 2000] for a in range(0, len(data), 2000))
-            gram[np.diag_indices_from(gram)] += RIDGE * np.trace(gram) / DIMENSIONS
-            proto = np.linalg.solve(gram, x.T @ target).T
-            s = bundles @ proto.T
-            trusted = sure | (s.argmax(1) == label)
+            # only passages whose standing changed are added or taken out
+            changed = np.flatnonzero(now != trusted)
+            for at in range(0, len(changed), 2000):
+                part = changed[at : at + 2000]
+                x = bundles[part] * (weight[part] * np.where(now[part], 1.0, -1.0).astype(np.float32))[:, None]
+                gram += bundles[part].T @ x
+                sums += x.T @ target[part]
+            trusted = now
+            if not len(changed):
+                break
+            ridge = RIDGE * np.trace(gram) / DIMENSIONS
+            proto = np.linalg.solve(gram + ridge * np.eye(DIMENSIONS, dtype=np.float32), sums).T
+            now = sure | ((bundles @ proto.T).argmax(1) == label)
         judge = Judge(proto, 1.0)
         margins = []
         for words, c in data[: len(passages)][:1500] or data:
