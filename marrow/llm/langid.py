@@ -9,8 +9,8 @@ n-grams, so each distinct word is compared once and remembered. The words of a p
 decoded by Viterbi with a cost for switching language, lower at the end of a sentence or
 line, so mixed posts come out as segments with a confidence each.
 
-Quote headers, signatures, markers, links, code and numbers are taken out before. A
-language is present if one of its segments has ``MIN_WORDS`` words.
+Quote headers, signatures, markers, links, code and numbers are taken out before; of a line
+that mixes code and prose only the code goes. "@" written for "a" is a letter. A language is present if one of its segments has ``MIN_WORDS`` words.
 
 Defined cases: null, empty and blank texts and texts without such a segment have no rows;
 labels are compared after unifying case, region, three-letter codes and English names;
@@ -72,7 +72,24 @@ _HEADER = re.compile(r"^[\s>|]*(?:[^\n]{0,80}\s)?(?:wrote|schrieb|escribió|escr
 _RULE = re.compile(r"^[\s>|]*(?:--+|__+|==+|\*\*\*+|~~+|—+)\s*$")
 _QUOTE = re.compile(r"^[\s>|]+")
 _CODE = re.compile(r"[{}\[\]=;<>_|\\+*^$#@~/]")
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+#: "@" written for "a": in or at a word, or alone before a word.
+_AT = re.compile(r"(?<=[^\W\d_])@+|@+(?=[^\W\d_])|(?<!\S)@(?=[ \t]+[^\W\d_])")
+_LETTER = r"(?:[^\W\d_]|(?<=[^\W\d_])@|@(?=@*[^\W\d_])|(?<=[^\W\d_]@)@|(?<!\S)@(?=[ \t]+[^\W\d_]))"
+_WORD = re.compile(rf"{_LETTER}+(?:['’]{_LETTER}+)*")
+#: A word with nothing but punctuation, brackets or emphasis around it.
+_PLAIN = re.compile(rf"[(\[{{<\"'“”„‘’«»‹›¿¡*_~|>-]*{_LETTER}+(?:['’/-]{_LETTER}+)*[)\]}}>\"'“”„‘’«»‹›.,:;!?…*_~|-]*")
+#: Structures whose inside is code too.
+_STRUCTURE = re.compile(r"\{[^{}]*[:=;][^{}]*\}|\w+\([^()]*[=\[\]{};_][^()]*\)|\[[^\[\]]*[=:;][^\[\]]*\]")
+#: Words of common programming languages, no prose by themselves.
+KEYWORDS = frozenset(
+    "if else elif return def for in while import from print select where and or not class var let const function int float "
+    "double char bool boolean string str void null none nil true false new try except catch finally raise throw lambda with as "
+    "is end then do echo public private static final order group by insert into update set delete values join on".split()
+)
+#: A line that ends or begins like a statement.
+_STATEMENT = re.compile(r"[;{]\s*$|^\s*(?:\w+\s+){0,2}[\w.]+\s*[-+*/|&]?=(?!=)")
+#: Words that are no keywords, from which on a line with signs of code is prose too; ``MIN_WORDS`` in a statement.
+LEAST_PROSE = 3
 _END = re.compile(r"[.!?;:…。\n]|\s{2,}|\.\.\.")
 
 
@@ -86,6 +103,19 @@ def language_of_label(label: str | None) -> str | None:
 _BY_ALIAS = {a: code for code, names in ALIASES.items() for a in names}
 
 
+def without_code(line: str) -> str:
+    """A line with its code blanked out in place; nothing is left of a line that is all code."""
+
+    def blank(m: re.Match[str]) -> str:
+        return " " * len(m.group())
+
+    left = _STRUCTURE.sub(blank, line)
+    left = re.sub(r"\S+", lambda m: blank(m) if _CODE.search(_AT.sub("a", m.group())) and not _PLAIN.fullmatch(m.group()) else m.group(), left)
+    plain = [w.strip("()[]{}<>\"'“”„‘’«»‹›.,:;!?…*_~|-").lower() for w in left.split() if _PLAIN.fullmatch(w)]
+    own = sum(w not in KEYWORDS for w in plain)
+    return left if own >= (MIN_WORDS if _STATEMENT.search(line) else LEAST_PROSE) and own > len(plain) - own else ""
+
+
 def prose(text: str) -> list[list[tuple[str, bool, int, int]]]:
     """Words of the natural-language lines: (word, ends a sentence, line, column), paragraph by paragraph."""
     text = html.unescape(text).replace("\xa0", " ").replace("\r\n", "\n").replace("\r", "\n")
@@ -112,10 +142,12 @@ def prose(text: str) -> list[list[tuple[str, bool, int, int]]]:
         if _HEADER.match(plain):
             paragraphs.append([])
             continue
-        signs = len(_CODE.findall(body.replace("**", "").replace("_", "").replace("*", "")))
+        signs = len(_CODE.findall(_AT.sub("a", body).replace("**", "").replace("_", "").replace("*", "")))
         if signs >= 2 and signs > 0.04 * len(body):
-            paragraphs.append([])
-            continue
+            plain = without_code(plain)
+            if not plain:
+                paragraphs.append([])
+                continue
         if level != depth and depth is not None:
             paragraphs.append([])
         depth = level
@@ -131,7 +163,7 @@ def prose(text: str) -> list[list[tuple[str, bool, int, int]]]:
 
 
 def fold(word: str) -> str:
-    return unicodedata.normalize("NFC", word).lower().replace("’", "'")
+    return unicodedata.normalize("NFC", word).lower().replace("’", "'").replace("@", "a")
 
 
 def ngrams(word: str) -> Counter[str]:

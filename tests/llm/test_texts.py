@@ -179,6 +179,17 @@ def test_labels_and_segments(spark, prototypes):
     assert langid.relabelled(df.limit(0), "doc_id", prototypes=prototypes).count() == 0
 
 
+def test_prose_beside_signs_of_code_stays(spark, prototypes):
+    words = lambda t: [[w for w, _, _, _ in p] for p in langid.prose(t)]
+    assert words("I m@de 48 credits @ week, @sk me @@n mit@d\nname@lab.org 5 @ 3") == [["I", "m@de", "credits", "@", "week", "@sk", "me", "@@n", "mit@d"]]
+    assert words("Bitte {x: [1, 2]} setzen; danach läuft es -> wieder") == [["Bitte", "setzen", "danach", "läuft", "es", "wieder"]]
+    for code in ("def f(x): return {'a': [1, 2]}", "if x_1 >= 16:\n    return {'a': [0, 5]}", "int count = total + offset;", "SELECT name FROM t WHERE age >= 5 AND x = 3;"):
+        assert words(code) == []
+    assert langid.fold("Che@p") == "cheap"
+    df = spark.createDataFrame([(1, "Nobody cle@ned the filter before we st@rted the run @nd s@ve", None), (2, "Niemand hat den Filter gereinigt bevor wir anfingen {a: [1]}; {b = 2}", "en")], "doc_id long, text string, lang string")
+    assert {(r.doc_id, r.lang) for r in langid.relabelled(df, "doc_id", prototypes=prototypes).collect()} == {(1, "en"), (2, "de")}
+
+
 def test_label_forms():
     assert [langid.language_of_label(x) for x in ("pt-BR", "NLD", "German", "xx", "", None, " fr ")] == ["pt", "nl", "de", None, None, None, "fr"]
 
