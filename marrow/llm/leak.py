@@ -122,21 +122,29 @@ class LeakFinder:
                 cover[item].update(range(p, p + n))
                 places[item].append(last - n)
         out: list[tuple[int, int, int, int, int]] = []
+        used: dict[int, set[int]] = {}
         for item, covered in cover.items():
             need = min(self.min_words, len(self.items[item]))
             if len(covered) < min(LEAST_COVER, need):
                 continue
             hit = self._chain(item, words, places[item], need)
             if hit:
-                q0, q1, span, matched = hit
+                q0, q1, span, matched, used[item] = hit
                 out.append((item, starts[q0], stops[q1 - 1], span, matched))
+
+        def explained(h: tuple[int, int, int, int, int], g: tuple[int, int, int, int, int]) -> bool:
+            """Whether most words of ``h`` are matched by ``g``, which has more, and the others don't make a case."""
+            shared = used[h[0]] & used[g[0]]
+            if g[4] <= h[4] or len(shared) <= h[4] / 2:
+                return False
+            rest = [None if q in used[g[0]] else w for q, w in enumerate(words)]
+            return self._chain(h[0], rest, places[h[0]], min(self.min_words, len(self.items[h[0]]))) is None
+
         # test items share phrases: a passage belongs to the item that explains most of it
-        return sorted(
-            h for h in out
-            if not any(g[0] != h[0] and g[4] > h[4] and min(g[2], h[2]) - max(g[1], h[1]) > (h[2] - h[1]) / 2 for g in out)
-        )
+        return sorted(h for h in out if not any(g[0] != h[0] and explained(h, g) for g in out))
 
-    def _chain(self, item: int, words: list[str], seeds: list[int], need: int) -> tuple[int, int, int, int] | None:
+    def _chain(self, item: int, words: list[str | None], seeds: list[int], need: int) -> tuple[int, int, int, int, set[int]] | None:
+        """(first word, word after the last, words spanned, words matched, places of the matched ones) in the text."""
         target, places = self.items[item], self.places[item]
         near = sorted({q for s in seeds for q in range(max(0, s - 4), min(len(words), s + SEED + 4))})
         runs, open_runs = [], {}
@@ -156,10 +164,11 @@ class LeakFinder:
         runs = sorted((p, q, n) for p, q, n in runs if n >= alone)
         # (score, matched, first p, first q, matched since the last interruption, words of the text used)
         best: list[tuple[float, int, int, int, int, int]] = []
+        back: list[tuple[int, int]] = []  # the run before, and the words cut off this one
         found = None
         for p, q, n in runs:
-            top = (float(n), n, p, q, n, n)
-            for (jp, jq, jn), b in zip(runs, best, strict=False):
+            top, before = (float(n), n, p, q, n, n), (-1, 0)
+            for j, ((jp, jq, jn), b) in enumerate(zip(runs, best, strict=False)):
                 skip = max(jp + jn - p, jq + jn - q, 0)  # overlapping ends are cut off the later run
                 if skip >= n or p <= jp or q <= jq:
                     continue
@@ -173,12 +182,21 @@ class LeakFinder:
                 else:
                     continue
                 if score > top[0]:
-                    top = (score, b[1] + n - skip, b[2], b[3], since, used)
+                    top, before = (score, b[1] + n - skip, b[2], b[3], since, used), (j, skip)
             best.append(top)
+            back.append(before)
             span = p + n - top[2]
             if span >= need and top[1] >= LEAST_SHARE * max(span, top[5]) and top[4] >= min(LEAST_PART, need) and (found is None or top[1] > found[3]):
-                found = (top[3], q + n, span, top[1])
-        return found
+                found = (top[3], q + n, span, top[1], len(back) - 1)
+        if found is None:
+            return None
+        matched: set[int] = set()
+        k = found[4]
+        while k >= 0:
+            (_, q, n), (j, skip) = runs[k], back[k]
+            matched.update(range(q + skip, q + n))
+            k = j
+        return (*found[:4], matched)
 
 
 def find_leaks(df: DataFrame, items: DataFrame, key: str, text: str = "text", item_key: str = "item_id", item_text: str = "text", min_words: int = 12) -> DataFrame:

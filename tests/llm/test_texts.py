@@ -150,6 +150,19 @@ def test_leaks(spark):
     assert leaks(spark, [ITEM, ITEM], [(1, ITEM), (9, ITEM)])[0] == {(0, 1), (0, 9), (1, 1), (1, 9)}
 
 
+def test_an_item_within_another_is_found_besides_it(spark):
+    a, b = ITEM.split(), OTHER.split()
+    texts = [
+        " ".join([*a[:12], *b, *a[12:]]),
+        " ".join([*b[:11], *a, *b[11:]]),
+        " ".join([*a[:7], *b, *a[7:16]]),
+        " ".join([*a[:12], *b[:13], *a[12:]]),
+    ]
+    assert leaks(spark, texts)[0] == {(i, k) for i in range(4) for k in (1, 2)}
+    near = " ".join([*a[:16], "but", "other", "words", "follow", "here"])
+    assert leaks(spark, [ITEM], [(1, ITEM), (2, near)])[0] == {(0, 1)}  # a shared passage goes to one
+
+
 SENTENCES = {
     "en": ["The new machine keeps losing every slide after lunch.", "Nobody cleaned the filter before we started the run.", "Could you post which settings you use for this?"],
     "de": ["Die neue Maschine verliert nach dem Essen jeden Schnitt.", "Niemand hat den Filter gereinigt bevor wir anfingen.", "Könntet ihr bitte eure Einstellungen hier einstellen?"],
