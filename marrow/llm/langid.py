@@ -60,7 +60,7 @@ RIDGE = 0.05
 #: Labelled rows the prototypes are bundled from, at most, and passages used of them.
 SAMPLE_ROWS, SAMPLE_PASSAGES = 4000, 12000
 MIN_WORDS = 5
-#: Segments less sure than this are named but don't count as present.
+#: Segments less sure than this don't count as present beside a surer one; if a post has none, its surest counts.
 MIN_CONFIDENCE = 0.9
 REMEMBER = 300_000
 #: Cost of a switch inside a sentence and at its end, in mean word margins.
@@ -355,9 +355,11 @@ def relabelled(df: DataFrame, key: str, text: str = "text", label: str = "lang",
     """(key, lang, confidence, n_words) of texts whose label is missing or wrong or which mix languages."""
     found = (
         identify(df, key, text, label, prototypes)
-        .where((F.col("n_words") >= MIN_WORDS) & (F.col("confidence") >= MIN_CONFIDENCE))
+        .where(F.col("n_words") >= MIN_WORDS)
         .groupBy(key, "label")
-        .agg(F.collect_list(F.struct("lang", "confidence", "n_words")).alias("parts"))
+        .agg(F.collect_list(F.struct("confidence", "n_words", "lang")).alias("all"))
+        .withColumn("sure", F.filter("all", lambda p: p["confidence"] >= MIN_CONFIDENCE))
+        .withColumn("parts", F.when(F.size("sure") > 0, F.col("sure")).otherwise(F.array(F.array_max("all"))))
         .withColumn("langs", F.array_distinct(F.transform("parts", lambda p: p["lang"])))
         .where((F.size("langs") > 1) | F.col("label").isNull() | ~F.array_contains("langs", F.col("label")))
     )

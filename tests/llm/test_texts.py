@@ -203,6 +203,16 @@ def test_prose_beside_signs_of_code_stays(spark, prototypes):
     assert {(r.doc_id, r.lang) for r in langid.relabelled(df, "doc_id", prototypes=prototypes).collect()} == {(1, "en"), (2, "de")}
 
 
+def test_a_post_without_a_sure_segment_has_its_surest(spark, prototypes):
+    texts = [(SENTENCES["fr"][0], None), (SENTENCES["fr"][0], "fr"), (SENTENCES["de"][1] + "\n\n" + SENTENCES["fr"][0], "de"), (SENTENCES["fr"][0], "en")]
+    df = spark.createDataFrame([(i, t, lab) for i, (t, lab) in enumerate(texts)], "doc_id long, text string, lang string")
+    unsure = langid.Prototypes(prototypes.vectors, prototypes.margin * 8)  # every margin an eighth as wide
+    parts = langid.identify(df, "doc_id", prototypes=unsure).where("doc_id < 2").collect()
+    assert parts and all(p.n_words >= langid.MIN_WORDS and p.confidence < langid.MIN_CONFIDENCE for p in parts)
+    out = {(r.doc_id, r.lang): r.confidence for r in langid.relabelled(df, "doc_id", prototypes=unsure).collect()}
+    assert {(0, "fr"), (3, "fr")} <= set(out) and not any(d == 1 for d, _ in out) and out[0, "fr"] < langid.MIN_CONFIDENCE
+
+
 def test_label_forms():
     assert [langid.language_of_label(x) for x in ("pt-BR", "NLD", "German", "xx", "", None, " fr ")] == ["pt", "nl", "de", None, None, None, "fr"]
 
