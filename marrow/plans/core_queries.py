@@ -255,9 +255,13 @@ def failed_replies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def correction_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Errors of the made replies (no extraction_id) and of the stored failures."""
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    errors = validate.schema_errors(validate.parse_json(F.col("raw_text")))
-    return _replies(spark, d).select("report_id", F.coalesce(F.array_join(errors, "\n"), F.lit("no json")).alias("errors"))
+    data = validate.parse_json(F.col("raw_text"))
+    errors = F.when(data.isNull(), "no json").otherwise(F.array_join(validate.schema_errors(data), "\n"))
+    made = _replies(spark, d).select(F.lit(None).cast("bigint").alias("extraction_id"), "report_id", "raw_text")
+    stored = _preds(spark, d).where("raw_text is not null").select("extraction_id", "report_id", "raw_text")
+    return made.unionByName(stored).select("extraction_id", "report_id", errors.alias("errors"))
 
 
 def extract_replay(spark: SparkSession, d: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marrow.operators import extract, prompts, runs, validate
+from marrow.plans import core_queries
 from marrow.plans.fields import RESULT
 from marrow.sources import jsonl
 from marrow.streaming import ingest
@@ -103,6 +104,34 @@ def test_flags_of_any_type(spark):
     assert [r.f for r in got] == [["a"], ["a", "True", "None", "3"], None, ["7"]]
 
 
+def test_stored_failures_have_their_errors(spark, sf):
+    """The replies as stored, judged by Python's own JSON reader."""
+    classes = {"patient": "PatientIdentification", "tnm_stage": "TNMStage"}
+
+    def errors(raw):
+        inner = raw.strip().split("```")[1] if "```" in raw else raw.strip()
+        try:
+            data = json.loads(inner[inner.index("{") :])
+        except ValueError:
+            return "no json"
+        lines = []
+        for field in ("patient", "primary_site", "tumor_grade", "tnm_stage", "specimen_type"):
+            v = data.get(field)
+            if field in classes:
+                if v is not None and not isinstance(v, dict):
+                    lines.append(f"- {field}: Input should be a valid dictionary or instance of {classes[field]}")
+                elif field == "tnm_stage":
+                    lines += [f"- {field}.{k}: Input should be a valid string" for k in "TNM" if not isinstance((v or {}).get(k), str | None)]
+            elif not isinstance(v, str | None):
+                lines.append(f"- {field}: Input should be a valid string")
+        return "\n".join(lines)
+
+    stored = spark.read.parquet(f"{sf}/extractions.parquet").where("raw_text is not null").collect()
+    got = [r for r in core_queries.correction_messages(spark, sf).collect() if r.extraction_id is not None]
+    assert stored and sorted((r.extraction_id, r.report_id, r.errors) for r in got) == sorted((r.extraction_id, r.report_id, errors(r.raw_text)) for r in stored)
+    assert len({r.errors for r in got}) > 3
+
+
 def test_corrections(spark):
     rows = spark.createDataFrame([(0, "no"), (1, '{"tnm_stage": {"T": 4}, "patient": 1}'), (2, GOOD)], "i int, raw string")
     got = [r.c for r in rows.select("i", validate.correction(F.col("raw")).alias("c")).orderBy("i").collect()]
