@@ -1,16 +1,27 @@
 """Language of documents and of each passage, whatever their labels say.
 
-Letters have random bipolar hypervectors; an n-gram is the product of its letters'
-vectors, each rotated by its place, and a text is the sum of its n-grams. A language's
-prototype is bundled from labelled passages of a bounded sample of rows, freed of what all
-languages' bundles have in common (a ridge solution in the hypervector space); passages
-that then contradict their label are left out and the prototypes made anew. Cosines with prototypes are linear in the
-n-grams, so each distinct word is compared once and remembered. The words of a post are
-decoded by Viterbi with a cost for switching language, lower at the end of a sentence or
-line, so mixed posts come out as segments with a confidence each.
+Letters have random bipolar hypervectors; an n-gram is the product of its letters' vectors,
+each rotated by its place, and a text is the bundle (sum) of its n-grams. A language's
+prototype is the bundle of its n-grams, each weighted by the square root of its share less
+the mean over all languages (over the root of that mean, ``SHARPEN``). A passage is compared with the prototypes by cosine:
+the dot product is linear in the n-grams, so each distinct n-gram is compared once, in
+batches, and kept as a row of scores; the passage's norm is taken from its n-gram counts, as
+different n-grams' vectors are orthogonal up to 1 / sqrt(``DIMENSIONS``). The words of a post
+are decoded by Viterbi with a cost for switching language, lower at the end of a sentence or
+line, so mixed posts come out as segments. A segment whose cosine is below what passages of
+its length in the known languages reach is in another language, ``OTHER``. Confidence is the
+softmax of the cosines, with a temperature fitted on the sample.
+
+Prototypes are fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``); passages that
+contradict their label are left out and the prototypes bundled anew. Languages are those
+whose labels occur in the sample.
 
 Quote headers, signatures, markers, links, code and numbers are taken out before; of a line
-that mixes code and prose only the code goes. "@" written for "a" is a letter. A language is present if one of its segments has ``MIN_WORDS`` words.
+that mixes code and prose only the code goes. "@" written for "a" is a letter. A signature is
+what stands below a "--" line or another rule at the end of a post or quote: at most
+``SIGNATURE_LINES`` short lines; under rules other than "--" they must not end like sentences.
+Text below any other rule is prose. A language is present if one of its segments has
+``MIN_WORDS`` words.
 
 Defined cases: null, empty and blank texts and texts without such a segment have no rows;
 labels are compared after unifying case, region, three-letter codes and English names;
@@ -23,7 +34,6 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +42,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from marrow.session import spread
 
-LANGUAGES = ("en", "de", "es", "fr", "pt", "it", "nl")
 #: Common forms of each code, lower case, without region.
 ALIASES = {
     "en": ("en", "eng", "english"),
@@ -43,39 +52,42 @@ ALIASES = {
     "it": ("it", "ita", "italian", "italiano"),
     "nl": ("nl", "nld", "dut", "dutch", "nederlands", "flemish"),
 }
-#: Frequent function words, a start for prototypes where few labelled rows exist.
-COMMON = {
-    "en": "the of and to in that it is was for on with as at by this have from or had not are but what all were when we there can an your which their if will each about how up out them then she many some so these would other into has more two like him see could no make than been its now",
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem über einen so zum war haben nur oder aber vor zur bis mehr durch man sein wurde wenn ich wir keine unser",
-    "es": "de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este sí porque esta entre cuando muy sin sobre también me hasta hay donde quien desde todo nos durante todos uno les ni contra otros ese eso ante ellos e esto mí antes algunos",
-    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont la avec son aux d'un cette d'une ont ses mais comme on tout nous sa fait été aussi leur bien peut ces y deux elle même sans encore où depuis vous notre c'est",
-    "pt": "de a o que e do da em um para é com não uma os no se na por mais as dos como mas foi ao ele das tem à seu sua ou ser quando muito há nos já está eu também só pelo pela até isso ela entre era depois sem mesmo aos ter seus quem nas me esse eles estão você",
-    "it": "di e il la che in a un per è una non sono da con del si come della le i dei al più alla lo nel ma gli delle anche ha questo se su o ci dal mi suo nella essere stato era degli tutto alle quando dopo senza due loro già molto perché fino così dove ogni",
-    "nl": "de van het een en in is dat op te zijn met voor niet aan er om ook als dan maar bij nog uit door naar heeft ze hij of over tot je wordt was worden wij deze kan geen meer al zo dit haar hun veel na moet toen onder we tegen werd want zich mijn waar ons",
-}
+#: Name of a passage in none of the languages of the prototypes.
+OTHER = "und"
 #: Size of hypervectors and longest n-gram.
-DIMENSIONS, LONGEST = 2048, 4
-#: Part of the mean variance added to every dimension when prototypes are freed of common parts.
-RIDGE = 0.05
-#: Labelled rows the prototypes are bundled from, at most, and passages used of them.
-SAMPLE_ROWS, SAMPLE_PASSAGES = 4000, 12000
+DIMENSIONS, LONGEST = 8192, 4
+#: Power of an n-gram's mean weight by which its weights are divided: 0 leaves common n-grams their weight, 1 takes all of it.
+SHARPEN = 0.5
+#: Labelled rows the prototypes are bundled from, at most, and passages of them.
+SAMPLE_ROWS, SAMPLE_PASSAGES = 4000, 60_000
+#: Share of the sample's passages that may fall below the least cosine of their length, and what is taken off it.
+FLOOR_SHARE, FLOOR_SLACK = 0.002, 0.8
+#: Lengths in words from which a least cosine of its own holds.
+FLOOR_FROM = (1, 5, 7, 10, 14, 20)
+#: n-grams whose vectors are made at a time.
+CHUNK = 2048
 MIN_WORDS = 5
 #: Segments less sure than this don't count as present beside a surer one; if a post has none, its surest counts.
 MIN_CONFIDENCE = 0.9
+#: Distinct words and n-grams a Python worker keeps; both are emptied when full, which only costs time.
 REMEMBER = 300_000
 #: Cost of a switch inside a sentence and at its end, in mean word margins.
 SWITCH_INSIDE, SWITCH_END = 9.0, 2.5
+#: Lines of a signature and characters of each, at most.
+SIGNATURE_LINES, SIGNATURE_WIDTH = 4, 80
 
 _TAG = re.compile(r"<[/!?]?[a-zA-Z|][^<>\n]{0,400}>|\[/?[a-zA-Z*][^\[\]\n]{0,120}\]|<\|[a-z_]+\|>")
-_LINK = re.compile(r"(?:https?://|www\.|ftp://)\S+|\S+@\S+\.\w+|\b\S{31,}|[\w-]+(?:/[\w.-]+){2,}|\b\w+\.(?:png|jpe?g|gif|pdf|txt|csv|svs|html?)\b")
+_LINK = re.compile(r"(?:https?://|www\.|ftp://)\S+|\S+@\S+\.\w+|\b(?=\S{0,200}[\d_/\\=&%+#])\S{31,}|[\w-]+(?:/[\w.-]+){2,}|\b\w+\.(?:png|jpe?g|gif|pdf|txt|csv|svs|html?)\b")
+_FILE = re.compile(r"\.(?:png|jpe?g|gif|pdf|txt|csv|svs|html?)\b")
 _HEADER = re.compile(r"^[\s>|]*(?:[^\n]{0,80}\s)?(?:wrote|schrieb|escribió|escribio|a écrit|a ecrit|escreveu|ha scritto|schreef|said|sagte)(?: \w+)?\s*:\s*$", re.I)
-_RULE = re.compile(r"^[\s>|]*(?:--+|__+|==+|\*\*\*+|~~+|—+)\s*$")
-_QUOTE = re.compile(r"^[\s>|]+")
+_RULE = re.compile(r"[\s>|]*(?:--+|__+|==+|\*\*\*+|~~+|—+)\s*$")
 _CODE = re.compile(r"[{}\[\]=;<>_|\\+*^$#@~/]")
 #: "@" written for "a": in or at a word, or alone before a word.
 _AT = re.compile(r"(?<=[^\W\d_])@+|@+(?=[^\W\d_])|(?<!\S)@(?=[ \t]+[^\W\d_])")
 _LETTER = r"(?:[^\W\d_]|(?<=[^\W\d_])@|@(?=@*[^\W\d_])|(?<=[^\W\d_]@)@|(?<!\S)@(?=[ \t]+[^\W\d_]))"
-_WORD = re.compile(rf"{_LETTER}+(?:['’]{_LETTER}+)*")
+_AT_WORD = re.compile(rf"{_LETTER}+(?:['’]{_LETTER}+)*")
+#: A word and what stands between it and the next one.
+_WORD_GAP = re.compile(r"([^\W\d_]+(?:['’][^\W\d_]+)*)([\W\d_]*)")
 #: A word with nothing but punctuation, brackets or emphasis around it.
 _PLAIN = re.compile(rf"[(\[{{<\"'“”„‘’«»‹›¿¡*_~|>-]*{_LETTER}+(?:['’/-]{_LETTER}+)*[)\]}}>\"'“”„‘’«»‹›.,:;!?…*_~|-]*")
 #: Structures whose inside is code too.
@@ -90,17 +102,17 @@ KEYWORDS = frozenset(
 _STATEMENT = re.compile(r"[;{]\s*$|^\s*(?:\w+\s+){0,2}[\w.]+\s*[-+*/|&]?=(?!=)")
 #: Words that are no keywords, from which on a line with signs of code is prose too; ``MIN_WORDS`` in a statement.
 LEAST_PROSE = 3
-_END = re.compile(r"[.!?;:…。\n]|\s{2,}|\.\.\.")
+_END = re.compile(r"[.!?;:…。\n]|\s{2,}")
+_SENTENCE_END = (".", "!", "?", "…", ":", ";", ",")
+
+_BY_ALIAS = {a: code for code, names in ALIASES.items() for a in names}
 
 
 def language_of_label(label: str | None) -> str | None:
     if not isinstance(label, str):
         return None
-    plain = re.split(r"[-_.@ ]", label.strip().lower(), maxsplit=1)[0]
-    return _BY_ALIAS.get(label.strip().lower()) or _BY_ALIAS.get(plain)
-
-
-_BY_ALIAS = {a: code for code, names in ALIASES.items() for a in names}
+    whole = label.strip().lower()
+    return _BY_ALIAS.get(whole) or _BY_ALIAS.get(re.split(r"[-_.@ ]", whole, maxsplit=1)[0])
 
 
 def without_code(line: str) -> str:
@@ -116,49 +128,78 @@ def without_code(line: str) -> str:
     return left if own >= (MIN_WORDS if _STATEMENT.search(line) else LEAST_PROSE) and own > len(plain) - own else ""
 
 
-def prose(text: str) -> list[list[tuple[str, bool, int, int]]]:
-    """Words of the natural-language lines: (word, ends a sentence, line, column), paragraph by paragraph."""
-    text = html.unescape(text).replace("\xa0", " ").replace("\r\n", "\n").replace("\r", "\n")
-    paragraphs: list[list[tuple[str, bool, int, int]]] = [[]]
-    skip = 0
+def _level(line: str) -> int:
+    """Depth of quotation by the marks a line begins with."""
+    depth = 0
+    for c in line:
+        if c == ">":
+            depth += 1
+        elif c not in "| \t":
+            break
+    return depth
+
+
+def signature_lines(lines: list[str]) -> set[int]:
+    """Indices of the lines of signatures, their rules included."""
+    out: set[int] = set()
+    for k, line in enumerate(lines):
+        rule = line.lstrip(" >|\t")[:1]
+        if not rule or rule not in "-_=*~—" or not _RULE.match(line):
+            continue
+        level, block = _level(line), []
+        for i in range(k + 1, len(lines)):
+            if lines[i].strip(" >|\t") and _level(lines[i]) != level:
+                break
+            block.append(i)
+        shown = [lines[i].strip(" >|\t") for i in block if lines[i].strip(" >|\t")]
+        if not shown or len(shown) > SIGNATURE_LINES or max(map(len, shown)) > SIGNATURE_WIDTH:
+            continue
+        if line.strip(" >|\t") == "--" or not any(s.endswith(_SENTENCE_END) for s in shown):
+            out.update((k, *block))
+    return out
+
+
+def prose(text: str) -> list[list[tuple[str, bool]]]:
+    """Words of the natural-language lines: (word, ends a sentence), paragraph by paragraph."""
+    if "&" in text:
+        text = html.unescape(text)
+    text = text.replace("\xa0", " ").replace("\r\n", "\n").replace("\r", "\n")
+    paragraphs: list[list[tuple[str, bool]]] = [[]]
+    lines = text.split("\n")
+    signed = signature_lines(lines) if "--" in text or "__" in text or "==" in text or "**" in text or "~~" in text or "—" in text else ()
     depth = None
-    for no, line in enumerate(text.split("\n")):
-        quote = _QUOTE.match(line)
-        level = quote.group().count(">") if quote else 0
-        plain = _LINK.sub(" ", _TAG.sub(lambda m: " \n " if m.group()[:2] in ("<p", "</", "<b", "<d") and len(m.group()) > 3 else " ", line))
-        if _RULE.match(line):
-            skip = 2
+    for no, line in enumerate(lines):
+        if no in signed:
             paragraphs.append([])
             continue
+        plain = line
+        if "<" in line or "[" in line:
+            plain = _TAG.sub(lambda m: " \n " if m.group()[:2] in ("<p", "</", "<b", "<d") and len(m.group()) > 3 else " ", line)
+        if "/" in plain or "@" in plain or "www." in plain or _FILE.search(plain) or len(plain) > 30 and max(map(len, plain.split()), default=0) > 30:
+            plain = _LINK.sub(" ", plain)
         body = plain.strip(" >|\t*_~​")
-        if not body:
-            if skip < 2:
-                skip = 0
+        if not body or (line.endswith(":") or line.rstrip().endswith(":")) and _HEADER.match(plain):
             paragraphs.append([])
             continue
-        if skip:
-            skip -= 1
-            continue
-        if _HEADER.match(plain):
-            paragraphs.append([])
-            continue
-        signs = len(_CODE.findall(_AT.sub("a", body).replace("**", "").replace("_", "").replace("*", "")))
-        if signs >= 2 and signs > 0.04 * len(body):
-            plain = without_code(plain)
-            if not plain:
-                paragraphs.append([])
-                continue
+        if _CODE.search(body):
+            signs = len(_CODE.findall(_AT.sub("a", body).replace("**", "").replace("_", "").replace("*", "")))
+            if signs >= 2 and signs > 0.04 * len(body):
+                plain = without_code(plain)
+                if not plain:
+                    paragraphs.append([])
+                    continue
+        level = _level(line)
         if level != depth and depth is not None:
             paragraphs.append([])
         depth = level
-        at = 0
-        body = plain
-        words = list(_WORD.finditer(body))
-        for k, m in enumerate(words):
-            gap = body[m.end() : words[k + 1].start()] if k + 1 < len(words) else body[m.end() :]
-            ended = _END.search(gap) is not None if k + 1 < len(words) else _END.search(gap.strip()) is not None
-            paragraphs[-1].append((m.group(), ended, no, m.start()))
-            at = m.end()
+        if "@" in plain:
+            words = list(_AT_WORD.finditer(plain))
+            pairs = [(m.group(), plain[m.end() : words[k + 1].start() if k + 1 < len(words) else len(plain)]) for k, m in enumerate(words)]
+        else:
+            pairs = _WORD_GAP.findall(plain)
+        if pairs:
+            paragraphs[-1] += [(w, gap != " " and _END.search(gap) is not None) for w, gap in pairs[:-1]]
+            paragraphs[-1].append((pairs[-1][0], _END.search(pairs[-1][1].strip()) is not None))
     return [p for p in paragraphs if p]
 
 
@@ -166,128 +207,246 @@ def fold(word: str) -> str:
     return unicodedata.normalize("NFC", word).lower().replace("’", "'").replace("@", "a")
 
 
-def ngrams(word: str) -> Counter[str]:
-    """n-grams of a word with its borders, 1 to ``LONGEST`` letters, and the word itself if short."""
-    padded = f" {word} "
-    return Counter(padded[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(padded) - n + 1) if padded[i : i + n] != " ")
-
+def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code, index of the word) of every n-gram of 1 to ``LONGEST`` letters of words with their borders.
 
-class Letters:
-    """Random bipolar vectors of letters, made from the letter alone."""
+    A letter is a UTF-16 unit, so a code holds up to four of them in 64 bits.
+    """
+    units = np.frombuffer("".join(f" {w} " for w in words).encode("utf-16-le", "surrogatepass"), np.uint16).astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), [len(w.encode("utf-16-le", "surrogatepass")) // 2 + 2 for w in words])
+    codes, owners = [], []
+    code = np.zeros(len(units), np.uint64)
+    for n in range(1, LONGEST + 1):
+        last = len(units) - n + 1
+        if last <= 0:
+            break
+        code = code[:last] | units[n - 1 :] << np.uint64(16 * (n - 1))
+        inside = owner[:last] == owner[n - 1 :]
+        if n == 1:
+            inside = inside & (units != 32)
+        codes.append(code[inside])
+        owners.append(owner[:last][inside])
+    return np.concatenate(codes), np.concatenate(owners)
+
+
+class Space:
+    """Hypervectors of letters and n-grams, made from the letters alone."""
 
     def __init__(self) -> None:
-        self.known: dict[str, np.ndarray] = {}
-
-    def letter(self, c: str) -> np.ndarray:
-        if c not in self.known:
-            self.known[c] = np.random.default_rng([7, ord(c)]).integers(0, 2, DIMENSIONS, dtype=np.int8) * 2 - 1
-        return self.known[c]
-
-    def ngram(self, g: str) -> np.ndarray:
-        out = np.roll(self.letter(g[0]), len(g) - 1)
-        for k, c in enumerate(g[1:], 2):
-            out = out * np.roll(self.letter(c), len(g) - k)
+        self.rolled: dict[tuple[int, int], np.ndarray] = {}
+
+    def letter(self, unit: int, places: int) -> np.ndarray:
+        v = self.rolled.get((unit, places))
+        if v is None:
+            if len(self.rolled) > 20_000:
+                self.rolled.clear()
+            v = self.rolled[unit, places] = np.roll(np.random.default_rng([7, unit]).integers(0, 2, DIMENSIONS, dtype=np.int8) * 2 - 1, places)
+        return v
+
+    def vectors(self, codes: np.ndarray) -> np.ndarray:
+        """One row per n-gram: its letters' vectors, each rotated by its place, multiplied."""
+        out = np.ones((len(codes), DIMENSIONS), np.int8)
+        for k in range(LONGEST):
+            units = (codes >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.int64)
+            seen, where = np.unique(units, return_inverse=True)
+            table = np.stack([self.letter(u, k) if u else np.ones(DIMENSIONS, np.int8) for u in seen.tolist()])
+            out *= table[where]
         return out
 
 
 class Prototypes:
-    """Prototype of each language, one row each, and the mean margin of a word."""
+    """Unit prototype of each language, mean margin of a word, temperature and least cosines by length."""
 
-    def __init__(self, vectors: np.ndarray, margin: float):
-        self.vectors, self.margin = vectors, margin
+    def __init__(self, languages: tuple[str, ...], vectors: np.ndarray):
+        self.languages, self.vectors = languages, vectors
+        self.margin, self.temperature = 1.0, 0.05
+        self.floors = (-1.0,) * len(FLOOR_FROM)
+        #: n-grams of the sample and their products with the prototypes, so that workers need not compute them again
+        self.codes, self.scores = np.zeros(0, np.uint64), np.zeros((0, len(languages)), np.float32)
 
     @classmethod
     def fit(cls, passages: list[tuple[list[str], str]], rounds: int = 3) -> Prototypes:
         """From (words, language) passages; labels may be wrong here and there."""
-        code = {c: k for k, c in enumerate(LANGUAGES)}
-        seeds = [(COMMON[c].split()[i : i + 12], c) for c in LANGUAGES for i in range(0, 80, 12)]
-        seeds = [(w, c) for w, c in seeds if w]
-        data = passages + seeds * 2
-        label = np.array([code[c] for _, c in data])
-        sure = np.arange(len(data)) >= len(passages)
-        letters = Letters()
-        known: dict[str, np.ndarray] = {}
-        bundles = np.zeros((len(data), DIMENSIONS), np.float32)
-        for i, (words, _) in enumerate(data):
-            for w in words:
-                v = known.get(w)
-                if v is None:
-                    if len(known) >= 8000:
-                        known.clear()
-                    bag = ngrams(w)
-                    v = known[w] = np.fromiter(bag.values(), np.float32, len(bag)) @ np.stack([letters.ngram(g) for g in bag]).astype(np.float32)
-                bundles[i] += v
-        bundles /= np.linalg.norm(bundles, axis=1, keepdims=True) + 1e-9
-        # the bundled sums of each language, freed of what the languages' texts have in common
-        weight = (1 / np.sqrt(np.bincount(label, minlength=len(LANGUAGES)) + 5.0))[label].astype(np.float32)
-        target = np.where(np.arange(len(LANGUAGES)) == label[:, None], 1.0, -1.0 / (len(LANGUAGES) - 1)).astype(np.float32)
-        gram = np.zeros((DIMENSIONS, DIMENSIONS), np.float32)
-        sums = np.zeros((DIMENSIONS, len(LANGUAGES)), np.float32)
-        trusted = np.zeros(len(data), bool)
-        now = np.ones(len(data), bool)
+        languages = tuple(sorted({c for _, c in passages}))
+        if len(languages) < 2:
+            return cls(languages, np.zeros((len(languages), DIMENSIONS), np.float32))
+        label = np.array([languages.index(c) for _, c in passages])
+        vocabulary = sorted({w for words, _ in passages for w in words})
+        code, owner = ngrams(vocabulary)
+        known, gram = np.unique(code, return_inverse=True)
+        place = {w: i for i, w in enumerate(vocabulary)}
+        word = np.fromiter((place[w] for words, _ in passages for w in words), np.int64)
+        length = np.array([len(words) for words, _ in passages])
+        passage = np.repeat(np.arange(len(passages)), length)
+        trusted = np.ones(len(passages), bool)
         for _ in range(rounds):
-            # only passages whose standing changed are added or taken out
-            changed = np.flatnonzero(now != trusted)
-            for at in range(0, len(changed), 2000):
-                part = changed[at : at + 2000]
-                x = bundles[part] * (weight[part] * np.where(now[part], 1.0, -1.0).astype(np.float32))[:, None]
-                gram += bundles[part].T @ x
-                sums += x.T @ target[part]
-            trusted = now
-            if not len(changed):
+            counts = np.zeros((len(languages), len(known)))
+            for k in range(len(languages)):
+                each = np.bincount(word[(trusted & (label == k))[passage]], minlength=len(vocabulary))
+                counts[k] = np.bincount(gram, each[owner], len(known))
+            share = np.sqrt(counts / np.maximum(counts.sum(1, keepdims=True), 1))
+            weight = ((share - share.mean(0)) / np.maximum(share.mean(0), 1e-9) ** SHARPEN).astype(np.float32)
+            weight /= np.linalg.norm(weight, axis=1, keepdims=True) + 1e-9
+            # what the products with the bundles are but for the noise of the space
+            total = cls._sums(weight.T, owner, gram, word, passage, len(vocabulary), len(passages))
+            agrees = total.argmax(1) == label
+            if (agrees == trusted).all():
                 break
-            ridge = RIDGE * np.trace(gram) / DIMENSIONS
-            proto = np.linalg.solve(gram + ridge * np.eye(DIMENSIONS, dtype=np.float32), sums).T
-            now = sure | ((bundles @ proto.T).argmax(1) == label)
-        judge = Judge(proto, 1.0)
-        margins = []
-        for words, c in data[: len(passages)][:1500] or data:
-            total = sum(judge.word(w) for w in words)
-            k = code[c]
-            if total.argmax() == k and len(words) >= 4:
-                margins.append((total[k] - np.delete(total, k).max()) / len(words))
-        return cls(proto.astype(np.float32), float(np.median(margins)) if margins else 1.0)
+            trusted = agrees
+        vectors, space = np.zeros((len(languages), DIMENSIONS), np.float32), Space()
+        for at in range(0, len(known), CHUNK):
+            vectors += weight[:, at : at + CHUNK] @ space.vectors(known[at : at + CHUNK]).astype(np.float32)
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True) + 1e-9
+        scores = np.concatenate([space.vectors(known[at : at + CHUNK]).astype(np.float32) @ vectors.T for at in range(0, len(known), CHUNK)])
+        total = cls._sums(scores, owner, gram, word, passage, len(vocabulary), len(passages))
+        made = cls(languages, vectors)
+        made.codes, made.scores = known, scores
+        right = total[np.arange(len(passages)), label]
+        others = np.where(np.arange(len(languages)) == label[:, None], -np.inf, total).max(1)
+        sure = trusted & (length >= 4)
+        if sure.any():
+            made.margin = float(np.median(((right - others) / length)[sure]))
+            judge = Judge(made)
+            judge.learn(vocabulary)
+            held = [(words, k) for words, k, s in zip((p for p, _ in passages), label.tolist(), sure.tolist(), strict=True) if s]
+            whole = np.stack([judge.cosine([judge.rows[w] for w in words]) for words, _ in held])
+            short = np.stack([judge.cosine([judge.rows[w] for w in words[:MIN_WORDS]]) for words, _ in held])
+            made._calibrate(whole, short, label[sure], length[sure])
+        return made
+
+    @staticmethod
+    def _sums(scores: np.ndarray, owner: np.ndarray, gram: np.ndarray, word: np.ndarray, passage: np.ndarray, n_words: int, n_passages: int) -> np.ndarray:
+        """Scores of n-grams added up to words and those to passages."""
+        by_word = [np.bincount(owner, scores[gram, k], n_words) for k in range(scores.shape[1])]
+        return np.stack([np.bincount(passage, w[word], n_passages) for w in by_word], 1)
+
+    def _calibrate(self, cosines: np.ndarray, short: np.ndarray, label: np.ndarray, length: np.ndarray) -> None:
+        """Temperature by likelihood over the shortest passages that count, least cosines by length."""
+        own, first = (c[np.arange(len(label)), label] for c in (cosines, short))
+        best, least = None, np.inf
+        for t in np.geomspace(0.002, 0.2, 30):
+            loss = float(np.mean(np.log(np.exp(np.minimum((short - first[:, None]) / t, 500)).sum(1))))
+            if loss < least:
+                best, least = float(t), loss
+        self.temperature = best or self.temperature
+        floors = []
+        for a, b in zip(FLOOR_FROM, (*FLOOR_FROM[1:], np.inf), strict=True):
+            part = own[(length >= a) & (length < b)]
+            floors.append(float(np.quantile(part, FLOOR_SHARE)) * FLOOR_SLACK if len(part) >= 50 else floors[-1] if floors else -1.0)
+        self.floors = tuple(floors)
 
 
 class Judge:
     """Scores words and decodes texts against prototypes; made once per Python worker."""
 
-    def __init__(self, vectors: np.ndarray, margin: float):
-        self.vectors, self.margin = vectors / np.sqrt(vectors.shape[1]), margin
-        self.letters = Letters()
-        self.grams: dict[str, np.ndarray] = {}
-        self.words: dict[str, np.ndarray] = {}
-
-    def word(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= REMEMBER:
-                self.words.clear()
-            found = np.zeros(len(self.vectors), np.float32)
-            for g, n in ngrams(word).items():
-                v = self.grams.get(g)
-                if v is None:
-                    if len(self.grams) >= REMEMBER:
-                        self.grams.clear()
-                    v = self.grams[g] = self.vectors @ self.letters.ngram(g).astype(np.float32)
-                found = found + n * v
-            self.words[word] = found
-        return found
+    def __init__(self, prototypes: Prototypes):
+        self.model = prototypes
+        self.space = Space()
+        self._clear()
+
+    def _clear(self) -> None:
+        n = len(self.model.languages)
+        self.rows: dict[str, int] = {}
+        self.codes, self.scores = self.model.codes, self.model.scores
+        self.table = np.zeros((1024, n), np.float32)
+        self.grams: list[np.ndarray] = []
+
+    def learn(self, words: list[str]) -> None:
+        """Score distinct words, all at once; each n-gram is compared with the prototypes once."""
+        new = [w for w in dict.fromkeys(words) if w not in self.rows]
+        if len(self.rows) + len(new) > REMEMBER or len(self.codes) > 4 * REMEMBER:
+            self._clear()
+            new = list(dict.fromkeys(words))
+        if not new:
+            return
+        code, owner = ngrams([fold(w) for w in new])
+        distinct, gram = np.unique(code, return_inverse=True)
+        at = np.searchsorted(self.codes, distinct)
+        fresh = np.ones(len(distinct), bool)
+        if len(self.codes):
+            fresh = self.codes[np.minimum(at, len(self.codes) - 1)] != distinct
+        scores = np.empty((len(distinct), len(self.model.languages)), np.float32)
+        if not fresh.all():
+            scores[~fresh] = self.scores[at[~fresh]]
+        todo = np.flatnonzero(fresh)
+        for k in range(0, len(todo), CHUNK):
+            scores[todo[k : k + CHUNK]] = self.space.vectors(distinct[todo[k : k + CHUNK]]).astype(np.float32) @ self.model.vectors.T
+        if len(todo):
+            order = np.argsort(codes := np.concatenate([self.codes, distinct[todo]]), kind="stable")
+            self.codes, self.scores = codes[order], np.concatenate([self.scores, scores[todo]])[order]
+        first = len(self.grams)
+        while len(self.table) < first + len(new):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        for k in range(len(self.model.languages)):
+            self.table[first : first + len(new), k] = np.bincount(owner, scores[gram, k], len(new))
+        by_word = np.argsort(owner, kind="stable")
+        self.grams += np.split(code[by_word], np.cumsum(np.bincount(owner, minlength=len(new)))[:-1])
+        self.rows |= {w: first + i for i, w in enumerate(new)}
+
+    def row(self, word: str) -> int:
+        if word not in self.rows:
+            self.learn([word])
+        return self.rows[word]
+
+    def cosine(self, rows: list[int]) -> np.ndarray:
+        """Cosine of the bundle of a passage's words with each prototype."""
+        dot = self.table[rows].sum(0)
+        _, n = np.unique(np.concatenate([self.grams[r] for r in rows]), return_counts=True)
+        return dot / np.sqrt(DIMENSIONS * float((n * n).sum()) + 1e-9)
 
     def segments(self, text: str) -> list[tuple[str, int, float, str]]:
         """(language, words, confidence, passage) of consecutive words in one language."""
-        out = []
-        for words in prose(text):
-            each = np.stack([self.word(fold(w)) for w, _, _, _ in words]) / self.margin
-            path = self._decode(each.tolist(), [ended for _, ended, _, _ in words])
-            a = 0
-            for b in range(1, len(path) + 1):
-                if b == len(path) or path[b] != path[a]:
-                    total = each[a:b].sum(0)
-                    odds = np.exp(np.clip(total - total.max(), -60, 0))
-                    out.append((LANGUAGES[path[a]], b - a, float(odds[path[a]] / odds.sum()), " ".join(w for w, _, _, _ in words[a:b])))
-                    a = b
-        return out
+        return self.segments_of([text])[0]
+
+    def segments_of(self, texts: list[str]) -> list[list[tuple[str, int, float, str]]]:
+        """``segments`` of many texts, whose new words are scored together."""
+        parsed = [prose(t) for t in texts]
+        self.learn([w for paragraphs in parsed for p in paragraphs for w, _ in p])
+        return [[s for words in paragraphs for s in self._paragraph(words)] for paragraphs in parsed]
+
+    def _paragraph(self, words: list[tuple[str, bool]]) -> list[tuple[str, int, float, str]]:
+        model = self.model
+        if not model.languages:
+            return []
+        rows = [self.rows[w] for w, _ in words]
+        each = self.table[rows] / model.margin
+        path = self._path(each, [ended for _, ended in words])
+        found: list[tuple[str, int, int, float]] = []
+        a = 0
+        for b in range(1, len(path) + 1):
+            if b == len(path) or path[b] != path[a]:
+                cos = self.cosine(rows[a:b])
+                k = path[a]
+                odds = np.exp((cos - cos.max()) / model.temperature)
+                floor = model.floors[sum(b - a >= x for x in FLOOR_FROM) - 1]
+                if cos[k] < floor:
+                    sure = 1 - float(cos[k] / floor) if floor > 0 else 0.0
+                    if found and found[-1][0] == OTHER:
+                        found[-1] = (OTHER, found[-1][1], b, max(found[-1][3], min(sure, 1.0)))
+                    else:
+                        found.append((OTHER, a, b, min(sure, 1.0)))
+                else:
+                    found.append((model.languages[k], a, b, float(odds[k] / odds.sum())))
+                a = b
+        return [(lang, b - a, sure, " ".join(w for w, _ in words[a:b])) for lang, a, b, sure in found]
+
+    @classmethod
+    def _path(cls, each: np.ndarray, ended: list[bool]) -> list[int]:
+        """Likeliest language of each word.
+
+        Each stretch in another language bears half of the costs of the switches at its ends. If no
+        stretch gains more than that over one language throughout, that is the best path; else it
+        is decoded word by word.
+        """
+        n = len(each)
+        k = int(each.sum(0).argmax())
+        cost = np.zeros((n + 1, 1), np.float32)
+        cost[1:n, 0] = [SWITCH_END / 2 if e else SWITCH_INSIDE / 2 for e in ended[: n - 1]]
+        run = np.zeros((n + 1, each.shape[1]), np.float32)
+        (each - each[:, k : k + 1]).cumsum(0, out=run[1:])
+        if (run - cost - np.minimum.accumulate(run + cost)).max() <= 0:
+            return [k] * n
+        return cls._decode(each.tolist(), ended)
 
     @staticmethod
     def _decode(each: list[list[float]], ended: list[bool]) -> list[int]:
@@ -316,9 +475,9 @@ def fit_prototypes(df: DataFrame, key: str, text: str = "text", label: str = "la
     passages: list[tuple[list[str], str]] = []
     for r in sorted(sample, key=lambda r: r["k"]):
         code = language_of_label(r["l"])
-        for words in prose(r["t"]):
+        for words in prose(r["t"]) if code else ():
             part: list[str] = []
-            for w, ended, _, _ in words:
+            for w, ended in words:
                 part.append(fold(w))
                 if ended or len(part) >= 25:
                     if len(part) >= 4:
@@ -334,17 +493,18 @@ def fit_prototypes(df: DataFrame, key: str, text: str = "text", label: str = "la
 
 def identify(df: DataFrame, key: str, text: str = "text", label: str = "lang", prototypes: Prototypes | None = None) -> DataFrame:
     """(key, label, segment_no, lang, n_words, confidence, passage) of every segment of every text."""
-    prototypes = prototypes or fit_prototypes(df, key, text, label)
-    shared = df.sparkSession.sparkContext.broadcast((prototypes.vectors, prototypes.margin))
+    shared = df.sparkSession.sparkContext.broadcast(prototypes or fit_prototypes(df, key, text, label))
     body = spread(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label"), F.col(f"`{text}`").alias("text"))).where("text is not null")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Judge(*shared.value)
+        model = Judge(shared.value)
         for batch in batches:
-            rows = []
-            for k, lab, t in zip(batch["key"], batch["label"], batch["text"], strict=True):
-                code = language_of_label(lab)
-                rows += [(k, code, no, *seg) for no, seg in enumerate(model.segments(t), 1)]
+            texts, rows = batch["text"].tolist(), []
+            for at in range(0, len(texts), 500):
+                found = model.segments_of(texts[at : at + 500])
+                for k, lab, segments in zip(batch["key"][at : at + 500], batch["label"][at : at + 500], found, strict=True):
+                    code = language_of_label(lab)
+                    rows += [(k, code, no, *seg) for no, seg in enumerate(segments, 1)]
             yield pd.DataFrame(rows, columns=["key", "label", "segment_no", "lang", "n_words", "confidence", "passage"])
 
     kind = dict(body.dtypes)["key"]
@@ -352,10 +512,10 @@ def identify(df: DataFrame, key: str, text: str = "text", label: str = "lang", p
 
 
 def relabelled(df: DataFrame, key: str, text: str = "text", label: str = "lang", prototypes: Prototypes | None = None) -> DataFrame:
-    """(key, lang, confidence, n_words) of texts whose label is missing or wrong or which mix languages."""
+    """(key, lang, confidence, n_words) of texts whose label is missing or wrong or which mix languages; ``OTHER`` is no language."""
     found = (
         identify(df, key, text, label, prototypes)
-        .where(F.col("n_words") >= MIN_WORDS)
+        .where((F.col("n_words") >= MIN_WORDS) & (F.col("lang") != OTHER))
         .groupBy(key, "label")
         .agg(F.collect_list(F.struct("confidence", "n_words", "lang")).alias("all"))
         .withColumn("sure", F.filter("all", lambda p: p["confidence"] >= MIN_CONFIDENCE))

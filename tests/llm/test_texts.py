@@ -1,3 +1,4 @@
+import copy
 import random
 import re
 
@@ -192,8 +193,22 @@ def test_labels_and_segments(spark, prototypes):
     assert langid.relabelled(df.limit(0), "doc_id", prototypes=prototypes).count() == 0
 
 
+def words_of(text):
+    return [[w for w, _ in p] for p in langid.prose(text)]
+
+
+def test_only_signatures_are_left_out_below_rules():
+    flat = lambda t: " ".join(w for p in words_of(t) for w in p)
+    assert flat("Résumé\n------\nLa machine est en panne. Personne ne sait pourquoi.\nOn attend.") == "Résumé La machine est en panne Personne ne sait pourquoi On attend"
+    assert flat("Before.\n***\nAfter the rule the post goes on\n\nand on.") == "Before After the rule the post goes on and on"
+    assert flat("Text.\n-- \nBest wishes.\nAnna, lab") == "Text" and flat("Text.\n___\nCheers from the bench") == "Text"
+    assert flat("> Text.\n> -----\n> Anna, lab\nThe answer stands here") == "Text The answer stands here"
+    long = "Rindfleischetikettierungsüberwachungsaufgabenübertragungsgesetz"
+    assert flat(f"Das {long} gilt a1b2c3d4e5f6a1b2c3d4e5f6a1b2c3d4e5f6") == f"Das {long} gilt"
+
+
 def test_prose_beside_signs_of_code_stays(spark, prototypes):
-    words = lambda t: [[w for w, _, _, _ in p] for p in langid.prose(t)]
+    words = words_of
     assert words("I m@de 48 credits @ week, @sk me @@n mit@d\nname@lab.org 5 @ 3") == [["I", "m@de", "credits", "@", "week", "@sk", "me", "@@n", "mit@d"]]
     assert words("Bitte {x: [1, 2]} setzen; danach läuft es -> wieder") == [["Bitte", "setzen", "danach", "läuft", "es", "wieder"]]
     for code in ("def f(x): return {'a': [1, 2]}", "if x_1 >= 16:\n    return {'a': [0, 5]}", "int count = total + offset;", "SELECT name FROM t WHERE age >= 5 AND x = 3;"):
@@ -206,7 +221,8 @@ def test_prose_beside_signs_of_code_stays(spark, prototypes):
 def test_a_post_without_a_sure_segment_has_its_surest(spark, prototypes):
     texts = [(SENTENCES["fr"][0], None), (SENTENCES["fr"][0], "fr"), (SENTENCES["de"][1] + "\n\n" + SENTENCES["fr"][0], "de"), (SENTENCES["fr"][0], "en")]
     df = spark.createDataFrame([(i, t, lab) for i, (t, lab) in enumerate(texts)], "doc_id long, text string, lang string")
-    unsure = langid.Prototypes(prototypes.vectors, prototypes.margin * 8)  # every margin an eighth as wide
+    unsure = copy.copy(prototypes)
+    unsure.temperature = 0.3  # no lead is that wide
     parts = langid.identify(df, "doc_id", prototypes=unsure).where("doc_id < 2").collect()
     assert parts and all(p.n_words >= langid.MIN_WORDS and p.confidence < langid.MIN_CONFIDENCE for p in parts)
     out = {(r.doc_id, r.lang): r.confidence for r in langid.relabelled(df, "doc_id", prototypes=unsure).collect()}
@@ -220,7 +236,7 @@ def test_label_forms():
 def test_held_out_passages_are_named_right(spark, sf):
     docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
     model = langid.fit_prototypes(docs.where("doc_id % 2 = 0"), "doc_id")
-    judge = langid.Judge(model.vectors, model.margin)
+    judge = langid.Judge(model)
     right = total = 0
     for r in docs.where("doc_id % 2 = 1 and text is not null").collect():
         code = langid.language_of_label(r.lang)
@@ -229,6 +245,29 @@ def test_held_out_passages_are_named_right(spark, sf):
             total += 1
             right += found == {code}
     assert total > 200 and right / total > 0.9  # about one label in twenty is wrong
+    foreign = {
+        "pl": "Każdy człowiek ma prawo do życia oraz wolności i bezpieczeństwa swojej osoby", "sv": "Alla människor är födda fria och lika i värde och rättigheter",
+        "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan", "ro": "Toate ființele umane se nasc libere și egale în demnitate și în drepturi",
+    }
+    assert {s[0] for t in foreign.values() for s in judge.segments(t)} == {langid.OTHER}
+
+
+def test_vectors_scores_and_paths_equal_their_definitions(prototypes):
+    code, owner = langid.ngrams(["ab", "z"])
+    text = lambda c: "".join(chr(int(c) >> 16 * k & 0xFFFF) for k in range(4) if int(c) >> 16 * k & 0xFFFF)
+    assert sorted(text(c) for c in code[owner == 0]) == sorted(["a", "b", " a", "ab", "b ", " ab", "ab ", " ab "]) and sorted(text(c) for c in code[owner == 1]) == sorted(["z", " z", "z ", " z "])
+    space, judge = langid.Space(), langid.Judge(prototypes)
+    words = ["machine", "nouvelle", "the", "machine"]
+    rows = [judge.row(w) for w in words]
+    bundle = sum(space.vectors(langid.ngrams([w])[0]).astype(float).sum(0) for w in words)
+    exact = prototypes.vectors @ bundle / np.linalg.norm(bundle)
+    assert np.allclose(judge.table[rows].sum(0), prototypes.vectors @ bundle, rtol=1e-3, atol=1) and np.allclose(judge.cosine(rows), exact, atol=0.02)
+    r = np.random.default_rng(4)
+    for n in (1, 2, 30, 200):
+        for scale in (0.3, 1.5, 4):
+            each, ended = r.normal(size=(n, 5)) * scale + np.repeat(r.normal(size=(n // 20 + 1, 5)), 20, 0)[:n], [bool(x) for x in r.integers(0, 2, n)]
+            cost = lambda path, each=each, ended=ended, n=n: sum(each[i, k] for i, k in enumerate(path)) - sum((langid.SWITCH_END if ended[i] else langid.SWITCH_INSIDE) for i in range(n - 1) if path[i] != path[i + 1])
+            assert np.isclose(cost(langid.Judge._path(each, ended)), cost(langid.Judge._decode(each.tolist(), ended)), atol=1e-4)
 
 
 def noise_of(spark, texts, names=("Harrowgate Pathology Services",)):
