@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,22 +32,36 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``; only where that
-    setting is missing (tests) a folder of this machine is used.
+    The cluster names the shared folder in ``spark.checkpoint.dir``. Where that setting is
+    missing, a local session uses a folder of its machine; on a cluster, whose executors
+    could not read it, that is an error.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="marrow-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
+def once[V, T](shared: Broadcast[V], make: Callable[[V], T]) -> T:
+    """``make`` of a broadcast value, made once per Python worker and kept with the broadcast.
+
+    A worker runs one task after the other, so what is made may keep a bounded memory of its own.
+    """
+    made = getattr(shared, "_made", None)
+    if made is None:
+        made = shared._made = make(shared.value)
+    return made
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores where a small input lies in fewer partitions than there are cores.
 
-    Only for scans ahead of work that is heavy per row; a large input has many partitions
-    and stays as it is, without a shuffle.
+    Only for scans ahead of work that is heavy per row. A small input's rows, whole texts
+    included, are shuffled once for that; a large input has many partitions and stays as it
+    is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
