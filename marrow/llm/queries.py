@@ -66,12 +66,11 @@ def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_reports(spark: SparkSession, d: str) -> DataFrame:
-    return token_budget.count_tokens(table(spark, d, "pilot_corpus"), "record_id")
+    return token_budget.count_tokens(table(spark, d, "pilot_corpus"), ["record_id"])
 
 
 def p6_totals(spark: SparkSession, d: str) -> DataFrame:
-    reports = table(spark, d, "pilot_corpus")
-    return token_budget.totals(reports, p6_reports(spark, d), "record_id", ["lab_code", "lang", "cancer_type", "style"])
+    return token_budget.totals(table(spark, d, "pilot_corpus"), ["lab_code", "lang", "cancer_type", "style"])
 
 
 def p7_sample(spark: SparkSession, d: str) -> DataFrame:

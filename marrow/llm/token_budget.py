@@ -1,16 +1,16 @@
 """Token counts per document and totals per slice under an existing BPE vocabulary.
 
-Texts are cut into chunks at single spaces and line feeds, which pre-tokens never cross;
-the distinct chunks of the corpus are cut into pre-tokens once. Distinct pre-tokens that
+Texts are cut into chunks at single spaces and line feeds, which pre-tokens never cross.
+Distinct chunks that a worker has not met before are cut into pre-tokens, and those that
 are no vocabulary entry are stored as flat symbol arrays. In rounds, all adjacent symbol
-pairs of a batch are joined with the sorted table of merge ranks, each piece's
-lowest-ranked merge is applied wherever it occurs in the piece, and pieces without a
-mergeable pair leave the loop, until none is left. Documents then add up their chunks.
+pairs are joined with the sorted table of merge ranks, each piece's lowest-ranked merge is
+applied wherever it occurs in the piece, and pieces without a mergeable pair leave the
+loop, until none is left. Documents then add up their chunks.
 
-Only the vocabulary and its merge table (bounded by the tokenizer file) are always
-broadcast. The table of distinct chunks grows with the corpus: it is broadcast only
-while it counts at most ``broadcast_chunks`` rows; beyond, documents' chunks are counted
-per document and joined by a shuffle.
+One scan, no shuffle: a worker keeps the counts of at most ``REMEMBER`` chunks, so a chunk
+of nearly every document is counted once per worker, and nothing that grows with the corpus
+is broadcast or gathered. Only the vocabulary and its merge table (bounded by the tokenizer
+file) are broadcast. Totals are aggregated map-side from the labels carried along.
 
 Defined cases: null and empty texts have 0 tokens; labels are stripped and compared
 without case, null and blank labels are 'unknown'; repeated rows are counted as they
@@ -19,7 +19,6 @@ come; an empty table gives no rows; texts of any length are counted whole.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +27,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marrow.functions.text import pystrip
 from marrow.llm.vocab import BYTE_BPE_50K, PATTERN, read_ranks
-from marrow.session import cut, spread
+from marrow.session import once, spread
 
-#: Distinct chunks a Python worker holds before it passes them on.
-FLUSH = 200_000
+#: Chunks whose counts a Python worker keeps; they are dropped when more come, which only costs time.
+REMEMBER = 400_000
+#: Documents whose new chunks are counted together.
+TOGETHER = 256
 #: How a chunk's key begins: it opens a line, or it is a pre-token already; else a space precedes it.
 _OPENS, _WHOLE = "\x00", "\x01"
 
@@ -110,68 +111,48 @@ def merged_lengths(pieces: list[bytes], byte_ids: np.ndarray, codes: np.ndarray,
     return out
 
 
-def chunk_tokens(chunks: DataFrame, path: str) -> DataFrame:
-    """(chunk, tokens) of distinct chunk keys."""
-    ranks = read_ranks(path)
-    shared = chunks.sparkSession.sparkContext.broadcast((ranks, np.array([ranks[bytes([b])] for b in range(256)], np.int64), *merge_table(ranks)))
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab, byte_ids, codes, merged = shared.value
-        chunker = Chunker()
-        for batch in batches:
-            cuts = [chunker.cut(k) for k in batch["chunk"]]
-            rare = list({p for pieces in cuts for p in pieces if p.encode() not in vocab})
-            sizes = dict(zip(rare, merged_lengths([p.encode() for p in rare], byte_ids, codes, merged).tolist(), strict=True)) if rare else {}
-            yield pd.DataFrame({"chunk": batch["chunk"], "tokens": [sum(sizes.get(p, 1) for p in pieces) for pieces in cuts]})
+class TokenCounter:
+    """Counts tokens of texts under one vocabulary; made once per Python worker."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.vocabulary = ranks
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.codes, self.merged = merge_table(ranks)
+        self.chunker = Chunker()
+        self.known: dict[str, int] = {}
+
+    def count(self, texts: list[str | None]) -> list[int]:
+        """Tokens of each text; 0 for null."""
+        out: list[int] = []
+        for at in range(0, len(texts), TOGETHER):
+            keys = [self.chunker.keys(t) if t else [] for t in texts[at : at + TOGETHER]]
+            distinct = set().union(*keys)
+            if len(self.known) + len(distinct) > REMEMBER:
+                self.known.clear()
+            self._learn([k for k in distinct if k not in self.known])
+            out += [sum(map(self.known.__getitem__, k)) for k in keys]
+        return out
 
-    return chunks.mapInPandas(count, "chunk string, tokens long")
+    def _learn(self, chunks: list[str]) -> None:
+        cuts = [self.chunker.cut(k) for k in chunks]
+        rare = list({p for pieces in cuts for p in pieces if p.encode() not in self.vocabulary})
+        sizes = dict(zip(rare, merged_lengths([p.encode() for p in rare], self.byte_ids, self.codes, self.merged).tolist(), strict=True)) if rare else {}
+        self.known |= {k: sum(sizes.get(p, 1) for p in pieces) for k, pieces in zip(chunks, cuts, strict=True)}
 
 
-def distinct_chunks(df: DataFrame, text: str) -> DataFrame:
-    """Distinct chunk keys of all texts, deduplicated in each worker before the shuffle."""
+def count_tokens(df: DataFrame, keep: list[str], text: str = "text", path: str = BYTE_BPE_50K) -> DataFrame:
+    """The columns ``keep`` and n_tokens of each row of ``df``."""
+    shared = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    docs = spread(df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias("text")))
+    kept = docs.columns[:-1]
 
-    def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunker, seen = Chunker(), set()
-        for batch in batches:
-            for value in batch["text"]:
-                seen.update(chunker.keys(value))
-                if len(seen) >= FLUSH:
-                    yield pd.DataFrame({"chunk": list(seen)})
-                    seen.clear()
-        if seen:
-            yield pd.DataFrame({"chunk": list(seen)})
-
-    return spread(df.select(F.col(f"`{text}`").alias("text"))).where("text is not null").mapInPandas(collect, "chunk string").distinct()
-
-
-def count_tokens(df: DataFrame, key: str, text: str = "text", path: str = BYTE_BPE_50K, broadcast_chunks: int = 600_000) -> DataFrame:
-    """(key, n_tokens) of each row of ``df``; ``key`` must be unique."""
-    docs = spread(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")))
-    counts = cut(chunk_tokens(distinct_chunks(df, text), path))
-    schema = f"key {dict(docs.dtypes)['key']}, n_tokens long"
-    if counts.count() <= broadcast_chunks:
-        rows = counts.toPandas()
-        shared = df.sparkSession.sparkContext.broadcast(dict(zip(rows["chunk"], rows["tokens"].tolist(), strict=True)))
-        del rows
-
-        def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            chunker, known = Chunker(), shared.value
-            for batch in batches:
-                yield pd.DataFrame({"key": batch["key"], "n_tokens": [sum(map(known.__getitem__, chunker.keys(t))) if isinstance(t, str) else 0 for t in batch["text"]]})
-
-        return docs.mapInPandas(add, schema).withColumnRenamed("key", key)
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunker = Chunker()
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counter = once(shared, TokenCounter)
         for batch in batches:
-            for k, t in zip(batch["key"], batch["text"], strict=True):
-                n = Counter(chunker.keys(t) if isinstance(t, str) else [])
-                if n:
-                    yield pd.DataFrame({"key": k, "chunk": list(n), "n": list(n.values())})
+            yield batch[kept].assign(n_tokens=counter.count([t if isinstance(t, str) else None for t in batch["text"]]))
 
-    hits = docs.mapInPandas(each, f"key {dict(docs.dtypes)['key']}, chunk string, n long").join(counts, "chunk")
-    found = hits.groupBy("key").agg(F.sum(F.col("n") * F.col("tokens")).alias("n_tokens"))
-    return docs.select("key").join(found, "key", "left").select(F.col("key").alias(key), F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"))
+    schema = ", ".join(f"{c} {t}" for c, t in docs.dtypes[:-1])
+    return docs.mapInPandas(count, f"{schema}, n_tokens long").toDF(*keep, "n_tokens")
 
 
 def label(c: Column) -> Column:
@@ -180,11 +161,11 @@ def label(c: Column) -> Column:
     return F.when(plain.isNull() | (plain == ""), F.lit("unknown")).otherwise(plain)
 
 
-def totals(df: DataFrame, counts: DataFrame, key: str, by: list[str]) -> DataFrame:
-    """Documents, tokens and mean per slice of ``by``."""
-    slices = df.select(key, *[label(F.col(f"`{c}`")).alias(c) for c in by])
+def totals(df: DataFrame, by: list[str], text: str = "text", path: str = BYTE_BPE_50K) -> DataFrame:
+    """Documents, tokens and the most tokens of a document per slice of ``by``."""
+    slices = df.select(*[label(F.col(f"`{c}`")).alias(c) for c in by], F.col(f"`{text}`").alias("_text"))
     return (
-        slices.join(counts, key)
+        count_tokens(slices, by, "_text", path)
         .groupBy(*by)
         .agg(F.count(F.lit(1)).alias("n_texts"), F.sum("n_tokens").cast("bigint").alias("n_tokens"), F.max("n_tokens").alias("most_tokens"))
     )

@@ -33,11 +33,15 @@ def test_ids_equal_the_tokenizer_and_decode_back(spark, reference_tokens):
     assert encode.encode(corpus(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("limit", [600_000, 0])
-def test_counts_equal_the_tokenizer_on_both_ways(spark, reference_tokens, limit):
-    got = {r.record_id: r.n_tokens for r in token_budget.count_tokens(corpus(spark, ODD + ODD), "record_id", broadcast_chunks=limit).collect()}
-    assert [got[i] for i in range(2 * len(ODD))] == [len(x) for x in reference_tokens(ODD + ODD)]
-    assert token_budget.count_tokens(corpus(spark, []), "record_id", broadcast_chunks=limit).count() == 0
+@pytest.mark.parametrize("kept", [400_000, 3])
+def test_counts_equal_the_tokenizer(spark, reference_tokens, monkeypatch, kept):
+    monkeypatch.setattr(token_budget, "REMEMBER", kept)
+    counter = token_budget.TokenCounter(read_ranks(BYTE_BPE_50K))
+    want = [len(x) for x in reference_tokens(ODD)]
+    assert [counter.count([t])[0] for t in ODD] == counter.count(ODD) == want
+    got = token_budget.count_tokens(corpus(spark, ODD + ODD), ["record_id", "key"]).collect()
+    assert {r.record_id: r.n_tokens for r in got} == dict(enumerate(want + want)) and {r.key for r in got} == {"k"}
+    assert token_budget.count_tokens(corpus(spark, []), ["record_id"]).count() == 0
 
 
 def test_merges_equal_a_plain_merge_loop():
@@ -61,7 +65,7 @@ def test_merges_equal_a_plain_merge_loop():
 
 def test_totals_count_dirty_labels(spark):
     df = corpus(spark, ["a b", "a", None]).withColumn("lang", F.when(F.col("record_id") == 0, " EN\t").when(F.col("record_id") == 1, "en"))
-    out = token_budget.totals(df, token_budget.count_tokens(df, "record_id"), "record_id", ["lang"]).collect()
+    out = token_budget.totals(df, ["lang"]).collect()
     assert sorted((r.lang, r.n_texts, r.n_tokens) for r in out) == [("en", 2, 3), ("unknown", 1, 0)]
 
 
