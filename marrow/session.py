@@ -29,19 +29,24 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     return spark
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of reliable checkpoints, which all executors can read and write.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``. Where that setting is
-    missing, a local session uses a folder of its machine; on a cluster, whose executors
-    could not read it, that is an error.
+    The cluster names it in ``spark.checkpoint.dir``. Where that setting is missing, a local
+    session uses a folder of its machine; on a cluster that is an error.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         shared = sc.getConf().get("spark.checkpoint.dir")
-        if not shared and not sc.master.startswith("local[") and sc.master != "local":
+        if not shared and sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="marrow-checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
