@@ -49,6 +49,11 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split(table(spark, d, "pilot_corpus"), table(spark, d, "split_specs"), "record_id")
 
 
+def p2_joined(spark: SparkSession, d: str) -> DataFrame:
+    """Split texts put together again from their pieces, and whether these keep the limit and the overlap."""
+    return split.rejoined(table(spark, d, "pilot_corpus"), table(spark, d, "split_specs"), "record_id")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return quota.unmet(table(spark, d, "pilot_corpus"), table(spark, d, "sample_targets"))
 
@@ -57,6 +62,11 @@ def p4_sample(spark: SparkSession, d: str) -> DataFrame:
     return quota.sample(table(spark, d, "pilot_corpus"), table(spark, d, "sample_targets"))
 
 
+def p4_report(spark: SparkSession, d: str) -> DataFrame:
+    """Every target cell, and whether its drawing kept floors, shares and size."""
+    return quota.checked(table(spark, d, "pilot_corpus"), table(spark, d, "sample_targets"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return ocr.find_noise(table(spark, d, "pilot_corpus"), table(spark, d, "labs"))
 
@@ -82,4 +92,4 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_sample": p4_sample, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_reports": p6_reports, "p6_totals": p6_totals, "p7_sample": p7_sample, "p8_ids": p8_ids, "p9_found": p9_found, "p9_spans": p9_spans, "p10_found": p10_found, "p10_segments": p10_segments}
+QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_pieces": p2_pieces, "p2_joined": p2_joined, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_reports": p6_reports, "p6_totals": p6_totals, "p7_sample": p7_sample, "p8_ids": p8_ids, "p9_found": p9_found, "p9_spans": p9_spans, "p10_found": p10_found, "p10_segments": p10_segments}

@@ -171,3 +171,29 @@ def split(df: DataFrame, specs: DataFrame, key: str, text: str = "text") -> Data
 def oversized(df: DataFrame, specs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(spec_id, key) of every row that had to be split: each has exactly one second piece."""
     return split(df, specs, key, text).where("piece_no = 2").select("spec_id", key)
+
+
+def rejoined(df: DataFrame, specs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(spec_id, ``key``, n_chars, digest, within_limit, in_order, shared): a check of ``split`` from its output alone.
+
+    ``digest`` is the MD5 of the pieces put together without what they share; ``shared`` tells
+    whether every piece but the first begins with the end of the one before, ``overlap_size``
+    long, in bytes less what a code point does not fit in.
+    """
+    piece = F.struct("piece_no", "start", "stop", "size", "text")
+    rules = F.broadcast(specs.select("spec_id", F.lower(F.trim("unit")).alias("unit"), "max_size", F.coalesce("overlap_size", F.lit(0)).alias("overlap_size")))
+    whole = split(df, specs, key, text).groupBy("spec_id", key).agg(F.array_sort(F.collect_list(piece)).alias("p")).join(rules, "spec_id")
+    pairs = F.arrays_zip(F.slice("p", 1, F.size("p") - 1).alias("a"), F.slice("p", 2, F.size("p") - 1).alias("b"))
+    common = lambda x: F.substring(x["b"]["text"], 1, (x["a"]["stop"] - x["b"]["start"]).cast("int"))
+    length = lambda t: F.when(F.col("unit") == "bytes", F.octet_length(t)).otherwise(F.char_length(t))
+    least = F.col("overlap_size") - F.when(F.col("unit") == "bytes", 3).otherwise(0)
+    joined = F.concat(F.get("p", F.lit(0))["text"], F.array_join(F.transform(pairs, lambda x: F.substring(x["b"]["text"], (x["a"]["stop"] - x["b"]["start"] + 1).cast("int"), 2**31 - 1)), ""))
+    return whole.select(
+        "spec_id",
+        key,
+        F.char_length(joined).cast("bigint").alias("n_chars"),
+        F.md5(joined.cast("binary")).alias("digest"),
+        F.forall("p", lambda x: (length(x["text"]) <= F.col("max_size")) & (length(x["text"]) == x["size"])).alias("within_limit"),
+        F.forall(F.transform("p", lambda x, i: x["piece_no"] == i + 1), lambda x: x).alias("in_order"),
+        F.forall(pairs, lambda x: F.endswith(x["a"]["text"], common(x)) & length(common(x)).between(least, F.col("overlap_size"))).alias("shared"),
+    )

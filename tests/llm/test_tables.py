@@ -56,6 +56,8 @@ def test_shares_floors_and_unmet_cells(spark):
         [(1, 500, "BRCA", "synoptic", 0.7, 5), (1, 500, "brca", "mixed", 0.2, 5), (1, 500, "LUAD", "unknown", 0.09, 5), (1, 500, "THYM", "mixed", 0.01, 3), (2, 100, "BRCA", "any", 0.98, 0), (2, 100, "LUAD", "any", 0.02, 10), (3, 50_000, "MESO", "any", 1.0, 1)],
         TARGETS,
     )
+    report = quota.checked(df, targets).collect()
+    assert len(report) == 7 and all(r.floor_met and r.share_met and r.size_met and r.no_repeats for r in report)
     unmet = {(r.request_id, r.cancer_type, r.style) for r in quota.unmet(df, targets).collect()}
     assert unmet == {(1, "THYM", "mixed"), (3, "MESO", "any")}
     rows = quota.sample(df, targets).collect()
@@ -93,14 +95,30 @@ def test_sample_is_stable_as_loads_are_added(spark):
     assert members(df, seed="other") != kept and members(df.limit(0)) == set() and members(df, rates={0: 1.0}) >= {"zz"} and members(df, rates={0: 0.0}) == set()
 
 
-def test_persisted_state_freezes_epoch_and_rate(spark):
-    df = reports(spark)
-    early = stable_sample.first_seen(df.where("load_no <= 3"), "report_id", "load_no", {0: 0.3})
-    now = stable_sample.first_seen(df, "report_id", "load_no", {0: 0.01}, known=early)
-    assert now.count() == now.select("key").distinct().count() == df.where("report_id is not null").select("report_id").distinct().count()
-    assert {r.rate for r in now.where("first_epoch <= 3").collect()} == {0.3} and {r.rate for r in now.where("first_epoch > 3").collect()} == {0.01}
-    before = members(df.where("load_no <= 3"), rates={0: 0.3})
-    assert before <= members(df, rates={0: 0.01}, known=early)
+def test_state_on_disk_keeps_epochs_and_rates(spark, tmp_path):
+    df, path = reports(spark), str(tmp_path / "state")
+    state = lambda: {r.key: (r.first_epoch, r.rate) for r in stable_sample.read_state(spark, path).collect()}
+    assert state() == {}
+    before = members(df.where("load_no = 3 or load_no = 4"), rates={0: 0.3}, path=path)
+    first = state()
+    assert before and set(first.values()) == {(3, 0.3), (4, 0.3)}
+    # another rate, and rows of older loads that come in late: known identifiers keep theirs, epoch 3 keeps its rate
+    late = df.unionByName(df.where("load_no = 4").withColumn("load_no", F.lit(1))).unionByName(df.limit(1).withColumns({"report_id": F.lit("new"), "load_no": F.lit(3)}))
+    after = members(late, rates={0: 0.01}, path=path)
+    now = state()
+    assert before <= after and {k: now[k] for k in first} == first and now["new"] == (3, 0.3)
+    assert {v for k, v in now.items() if k not in first and k != "new"} == {(e, 0.01) for e in (0, 1, 2, 5, 6, 7, 8, 9)}
+    assert members(late, rates={0: 1.0}, path=path) == after and state() == now
+    # a part that was not completed does not count
+    (tmp_path / "state" / "00000001" / "_SUCCESS").unlink()
+    assert set(state()) == set(first)
+
+
+def test_generator_gives_the_published_words(spark):
+    known = [((0, 0), (0, 0), (0x6B200159, 0x99BA4EFE)), ((0xFFFFFFFF, 0xFFFFFFFF), (0xFFFFFFFF, 0xFFFFFFFF), (0x1CB996FC, 0xBB002BE7)), ((0x13198A2E, 0x03707344), (0x243F6A88, 0x85A308D3), (0xC4923A9C, 0x483DF7A0))]
+    for (k0, k1), (c0, c1), want in known:
+        r = spark.range(1).select(stable_sample.threefry(F.lit(k0).cast("bigint"), F.lit(k1).cast("bigint"), c0, c1).alias("x")).first().x
+        assert tuple(r) == want
 
 
 def test_all_rows_of_an_identifier_share_its_fate(spark):
