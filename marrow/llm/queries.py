@@ -24,11 +24,13 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(table(spark, d, "documents"), "doc_id")
 
 
+#: Wordings of "grade cannot be assessed" that the list lacks.
+P1_ALSO = {"TUE-005": ["ungradable", "ungradeable", "not gradable", "not assessable", "grade not assessable", "cannot assess grade"]}
 P1_FIELDS = ["primary_site", "histological_subtype", "tumor_grade", "specimen_type"]
 
 
 def p1_mapped(spark: SparkSession, d: str) -> DataFrame:
-    return canon.map_values(table(spark, d, "extractions"), table(spark, d, "canonical_terms"), "extraction_id", P1_FIELDS)
+    return canon.map_values(table(spark, d, "extractions"), table(spark, d, "canonical_terms"), "extraction_id", P1_FIELDS, P1_ALSO)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

@@ -26,15 +26,47 @@ def test_canonical_mapping(spark):
     rows = [(i, v if f == "site" else None, v if f == "tumor_grade" else None, "x", "y") for i, (f, v, _) in enumerate(CASES)]
     rows += [(900, "left breast", None, "x", "y"), (901, None, "G1", "x", "y"), (902, "  ", "", "x", "y"), (903, None, None, "x", "y"), (904, "RUL", "gr. II", "x", "y"), (905, "RUL", None, "x", "y")]
     df = spark.createDataFrame(rows, "extraction_id long, site string, tumor_grade string, value string, field_name string")
-    got = Counter((r.extraction_id, r.field_name, r.term_id) for r in canon.map_values(df, terms, "extraction_id", ["site", "tumor_grade"]).collect())
+    known = {"also": {"GX": ["ungradable"]}, "short": {"l": "left", "rt": "right"}}
+    got = Counter((r.extraction_id, r.field_name, r.term_id) for r in canon.map_values(df, terms, "extraction_id", ["site", "tumor_grade"], **known).collect())
     want = {(i, f, t) for i, (f, _, t) in enumerate(CASES)} | {(904, "site", "A4"), (904, "tumor_grade", "G2"), (905, "site", "A4")}
     assert set(got) == want and set(got.values()) == {1}
     assert canon.map_values(df.limit(0), terms, "extraction_id", ["site"]).count() == 0
     assert {r.term_id for r in canon.map_values(df, terms.limit(0), "extraction_id", ["site"]).collect()} == {"none"}
 
 
+def test_remarks_and_abbreviations_are_learnt(spark):
+    terms = spark.createDataFrame([(f"P{i}", "site", t, None) for i, t in enumerate(["left kidney", "right kidney", "left ureter", "right ureter", "bladder", "left renal pelvis"])], "term_id string, field_name string, term string, synonyms array<string>")
+    taught = [f"{t} ask ward" for t in ("left kidney", "right ureter", "bladder")] + ["xt kidney", "lx kidney", "lx ureter", "lx renal pelvis", "left kidney askward", "bladder askward", "left ureter askward"]
+    asked = {"left kidny ask ward": "P0", "lx kidney": "P0", "lx uretr": "P2", "xt kidney": "none", "left kidney beside gut": "P0", "gut ask ward": "none", "leftkidneyaskward": "P0", "blader askward": "P4"}
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*taught, *asked])], "id long, site string")
+    got = {r.value: r.term_id for r in canon.map_values(df, terms, "id", ["site"]).collect()}
+    assert {v: got[v] for v in asked} == asked
+
+
+def test_index_finds_what_comparing_all_forms_finds():
+    import random
+
+    r = random.Random(6)
+    stems = ["".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randint(2, 4))) for _ in range(400)]
+    listed = [(f"T{i}", " ".join(r.sample(stems, r.randint(1, 4)))) for i in range(1500)]
+    forms = canon.Forms(listed, False)
+    mapper = canon.Mapper(forms, {}, set(), {})
+    for term, form in r.sample(listed, 120):
+        tokens = form.split()
+        k = r.randrange(len(tokens))
+        at = r.randrange(1, len(tokens[k]) - 1)
+        tokens[k] = tokens[k][:at] + r.choice(["", "x", tokens[k][at + 1] + tokens[k][at]]) + tokens[k][at + 1 :]
+        if r.random() < 0.3:
+            tokens.reverse()
+        best = max(forms.similarity(tokens, i) for i in range(len(forms.keys)))
+        found = max((forms.similarity(tokens, i) for i in forms.candidates(tokens)), default=0.0)
+        assert found == best or best < canon.ACCEPT
+        assert len(forms.candidates(tokens)) < 200
+        assert mapper.map(" ".join(tokens)) in (term, forms.terms[tuple(form.split())], "none") or best >= canon.ACCEPT
+
+
 def test_edits_and_likeness():
-    assert [canon.edits(a, b, 3) for a, b in (("ab", "ba"), ("abc", "abc"), ("abc", "xyzw"), ("", "ab"))] == [1, 0, 4, 2]
+    assert [canon.edits(a, b, 3) for a, b in (("ab", "ba"), ("abc", "abc"), ("abc", "xyzw"), ("", "ab"), ("xabz", "xbaz"), ("abcdef", "abcf"))] == [1, 0, 4, 2, 1, 2]
     assert canon.likeness("brst", "breast") and canon.likeness("mast", "mastectomy") and not canon.likeness("colectomy", "lobectomy") and not canon.likeness("2", "3")
 
 
