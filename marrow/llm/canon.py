@@ -202,11 +202,12 @@ class Forms:
                 for b in range(a + 2, min(a + 4, len(heavy)) + 1):
                     self.initials["".join(key[k][0] for k in heavy[a:b])].setdefault(i, tuple(heavy[a:b]))
         self.squashed: dict[str, str] = {}
-        self.squashed_by_bigram: dict[str, list[str]] = defaultdict(list)
+        self.squashed_by_bigram: dict[tuple[str, int], list[str]] = defaultdict(list)
         for key, term in self.terms.items():
             if self.squashed.setdefault("".join(key), term) == term:
-                for g in _bigrams("".join(key)):
-                    self.squashed_by_bigram[g].append("".join(key))
+                whole = "".join(key)
+                for g in _bigrams(whole):
+                    self.squashed_by_bigram[g, len(whole)].append(whole)
         self.weights = [[self.weigh(w) for w in key] for key in self.keys]
         self.memo: dict[str, list[tuple[str, float]]] = {}
 
@@ -242,11 +243,11 @@ class Forms:
             for w in self.by_bigram.get(g, ()):
                 shared[w] += 1
         # a typing error spoils two bigrams; words of another first letter must have the rest
-        least = 1 if len(token) <= 6 else 2
-        maybe = {w for w, n in shared.items() if (w[0] == token[0] and n >= least) or n >= min(len(token), len(w)) - 3}
+        least = 1 if len(token) <= 3 else 2 if len(token) <= 8 else 3
+        maybe = {w for w, n in shared.items() if (w[0] == token[0] and n >= least) or n >= min(len(token), len(w)) - 3 and abs(len(token) - len(w)) <= 2}
         maybe.update(self.by_prefix.get(token, ()))
         if not any(c in "aeiou" for c in token[1:]):
-            maybe.update(self.by_start.get(token[0], ()))
+            maybe.update(w for w in self.by_start.get(token[0], ()) if _inside(token, w))
         if token in self.holding:
             maybe.add(token)
         return [(w, s) for w in sorted(maybe) if (s := likeness(token, w)) > 0]
@@ -328,14 +329,16 @@ class Forms:
 
     def run_together(self, whole: str) -> Iterator[tuple[str, float]]:
         """(entry, similarity) of the forms that resemble ``whole`` as one word."""
-        shared: dict[str, int] = defaultdict(int)
-        for g in _bigrams(whole):
-            for form in self.squashed_by_bigram.get(g, ()):
-                shared[form] += 1
-        for form, n in shared.items():
-            most = int(max(len(form), len(whole)) * 0.27)
-            if len(form) >= 5 and n >= len(whole) // 3 and abs(len(form) - len(whole)) <= most and (d := edits(whole, form, most)) <= most and (form[0] == whole[0] or d <= 1):
-                yield self.squashed[form], 1 - 1.0 * d / len(form)
+        n, grams = len(whole), _bigrams(whole)
+        for size in range(max(5, int(n * 0.73)), int(n / 0.73) + 2):
+            most = int(max(size, n) * 0.27)
+            shared: dict[str, int] = defaultdict(int)
+            for g in grams:
+                for form in self.squashed_by_bigram.get((g, size), ()):
+                    shared[form] += 1
+            for form, k in shared.items():
+                if k >= n // 3 and (d := edits(whole, form, most)) <= most and (form[0] == whole[0] or d <= 1):
+                    yield self.squashed[form], 1 - 1.0 * d / size
 
     def is_missing(self, value: str) -> bool:
         plain = value.strip().lower()
