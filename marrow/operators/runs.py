@@ -56,59 +56,101 @@ def baselines(runs: DataFrame, metrics: list[str], n_baseline: int = 5) -> DataF
     return wide.select("run_id", "experiment", "n_prior", F.explode(parts).alias("p")).select("run_id", "experiment", "n_prior", "p.*")
 
 
-def _change_alert(runs: DataFrame, name: str, exceeds: Column, n_baseline: int) -> DataFrame:
-    d = baselines(runs, [name], n_baseline).withColumn("delta", F.col("current") - F.col("baseline"))
-    alert = F.coalesce(exceeds, F.lit(False)) & (F.col("n_prior") >= 2)
+#: What a monitor says of a run with too few others before it, and of one that lacks the metric.
+_FEW, _UNLOGGED = "fewer than 2 finished runs to compare with", "not logged in this run"
+WATCHED = ("pass_rate", "tier1_rate", "hallucination_rate", *NULL_METRICS, *USAGE_FACTORS)
+
+
+def _percent(c: Column) -> Column:
+    return F.format_string("%.1f%%", c * 100)
+
+
+def _change_alert(based: DataFrame, name: str, delta: Column, limit: float, verb: str) -> DataFrame:
+    """(run_id, alert, level, message, current, baseline, delta); ``delta`` is 0.0 where there is nothing to compare."""
+    d = based.where(F.col("metric") == name)
+    known = (F.col("n_prior") >= 2) & F.col("current").isNotNull() & F.col("baseline").isNotNull()
+    alert = F.coalesce(known & (delta > limit), F.lit(False))
     level = F.when(F.col("current").isNull(), "OK").when(F.col("n_prior") < 2, "INSUFFICIENT_DATA").when(alert, "WARN").otherwise("OK")
-    return d.select("run_id", alert.alias("alert"), level.alias("level"), "current", "baseline", F.when(F.col("n_prior") >= 2, F.round("delta", 4)).alias("delta"))
+    moved = F.concat(F.lit(f"{name} "), F.when(alert, verb).otherwise("within range"), F.lit(": "), _percent(F.col("baseline")), F.lit(" -> "), _percent(F.col("current")))
+    message = F.when(F.col("current").isNull(), f"{name} {_UNLOGGED}").when(F.col("n_prior") < 2, _FEW).when(F.col("baseline").isNull(), f"{name} not logged in the runs before").otherwise(moved)
+    return d.select("run_id", alert.alias("alert"), level.alias("level"), message.alias("message"), "current", "baseline", F.when(known, F.round(delta, 4)).otherwise(0.0).alias("delta"))
 
 
 def tier1_drift(runs: DataFrame, n_baseline: int = 5) -> DataFrame:
-    """Share of tier 1 that moved either way."""
-    return _change_alert(runs, "tier1_rate", F.abs("delta") > TIER1_CHANGE, n_baseline)
+    """Share of tier 1 that moved either way; ``delta`` is the distance."""
+    return _change_alert(baselines(runs, ["tier1_rate"], n_baseline), "tier1_rate", F.abs(F.col("current") - F.col("baseline")), TIER1_CHANGE, "moved")
 
 
 def pass_rate_drift(runs: DataFrame, n_baseline: int = 5) -> DataFrame:
-    """Pass rate that fell."""
-    return _change_alert(runs, "pass_rate", -F.col("delta") > PASS_DROP, n_baseline)
+    """Pass rate that fell; ``delta`` is the drop, negative where it rose."""
+    return _change_alert(baselines(runs, ["pass_rate"], n_baseline), "pass_rate", F.col("baseline") - F.col("current"), PASS_DROP, "fell")
 
 
 def flag_rate_alert(runs: DataFrame) -> DataFrame:
-    """Runs whose flag rate asks for a pause."""
+    """Runs whose flag rate asks for a pause; a rate that was not logged is 0.0."""
     rate = metric("hallucination_rate")
     high = F.coalesce(rate > FLAG_RATE, F.lit(False))
-    return runs.select("run_id", high.alias("alert"), F.when(high, "CRITICAL").otherwise("OK").alias("level"), rate.alias("rate"), high.alias("should_pause"))
+    message = F.when(rate.isNull(), f"hallucination_rate {_UNLOGGED}").otherwise(F.concat(F.lit("hallucination_rate "), F.when(high, "above").otherwise("within"), F.lit(f" {FLAG_RATE:.0%}: "), _percent(rate)))
+    return runs.select("run_id", high.alias("alert"), F.when(high, "CRITICAL").otherwise("OK").alias("level"), message.alias("message"), F.coalesce(F.round(rate, 4), F.lit(0.0)).alias("rate"), high.alias("should_pause"))
+
+
+def _payload(based: DataFrame, metrics: tuple[str, ...], drifted: Column, item: Column, alerts: str, calm: str, warn: str, name: str, shown: Column) -> DataFrame:
+    """One row a run: alert, level, message and the array ``alerts`` of its drifted metrics, in their order."""
+    d = based.where(F.col("metric").isin(*metrics)).withColumn("_nth", F.array_position(F.array(*[F.lit(m) for m in metrics]), F.col("metric")))
+    known = F.col("current").isNotNull()
+    hit = F.coalesce(known & (F.col("n_prior") >= 2) & drifted, F.lit(False))
+    rows = d.groupBy("run_id").agg(
+        F.max("n_prior").alias("n_prior"),
+        F.count_if(known).alias("n_logged"),
+        F.array_sort(F.collect_list(F.when(hit, F.struct("_nth", item.alias("x"), shown.alias("shown"))))).alias("_found"),
+    )
+    found, n = F.size("_found") > 0, F.col("n_logged")
+    level = F.when(n == 0, "OK").when(F.col("n_prior") < 2, "INSUFFICIENT_DATA").when(found, "WARN").otherwise("OK")
+    message = (
+        F.when(n == 0, f"{name} {_UNLOGGED}")
+        .when(F.col("n_prior") < 2, _FEW)
+        .when(found, F.concat(F.lit(f"{warn}: "), F.array_join(F.transform("_found", lambda x: x["shown"]), ", ")))
+        .otherwise(F.concat(n.cast("string"), F.lit(f" {calm} within range")))
+    )
+    return rows.select("run_id", found.alias("alert"), level.alias("level"), message.alias("message"), F.transform("_found", lambda x: x["x"]).alias(alerts))
 
 
 def null_rate_drift(runs: DataFrame, n_baseline: int = 5) -> DataFrame:
-    """One row per run and field: null shares that rose."""
-    d = baselines(runs, list(NULL_METRICS), n_baseline)
+    """One row a run: ``field_alerts`` (field, current, baseline, delta) of the null shares that rose."""
     delta = F.col("current") - F.col("baseline")
-    alert = F.coalesce(delta > NULL_RISE, F.lit(False)) & (F.col("n_prior") >= 2)
-    return d.where("current is not null").select("run_id", F.replace("metric", F.lit("null_rate_"), F.lit("")).alias("field"), "n_prior", F.round("current", 4).alias("current"), F.round("baseline", 4).alias("baseline"), F.round(delta, 4).alias("delta"), alert.alias("alert"))
+    field = F.replace("metric", F.lit("null_rate_"), F.lit(""))
+    item = F.struct(field.alias("field"), F.round("current", 4).alias("current"), F.round("baseline", 4).alias("baseline"), F.round(delta, 4).alias("delta"))
+    shown = F.concat(field, F.format_string(" (+%.0f%%)", delta * 100))
+    return _payload(baselines(runs, list(NULL_METRICS), n_baseline), NULL_METRICS, delta > NULL_RISE, item, "field_alerts", "null shares", "null shares rose", "null shares", shown)
 
 
 def usage_drift(runs: DataFrame, n_baseline: int = 5) -> DataFrame:
-    """One row per run and metric: tokens and latency beyond their factor of the baseline."""
-    d = baselines(runs, list(USAGE_FACTORS), n_baseline)
+    """One row a run: ``metric_alerts`` (metric, current, baseline, ratio) of tokens and latency beyond their factor."""
+    ratio = F.try_divide("current", "baseline")
+    item = F.struct("metric", F.round("current", 2).alias("current"), F.round("baseline", 2).alias("baseline"), F.round(ratio, 2).alias("ratio"))
+    shown = F.concat(F.col("metric"), F.format_string(" (%.1fx)", ratio))
+    return _payload(baselines(runs, list(USAGE_FACTORS), n_baseline), tuple(USAGE_FACTORS), _spike(), item, "metric_alerts", "usage metrics", "usage rose", "usage", shown)
+
+
+def _spike() -> Column:
     factor = F.create_map(*[F.lit(x) for kv in USAGE_FACTORS.items() for x in kv])[F.col("metric")]
-    alert = F.coalesce((F.col("baseline") > 0) & (F.col("current") > F.col("baseline") * factor), F.lit(False)) & (F.col("n_prior") >= 2)
-    return d.where("current is not null").select("run_id", "metric", "n_prior", F.round("current", 2).alias("current"), F.round("baseline", 2).alias("baseline"), F.round(F.try_divide("current", "baseline"), 2).alias("ratio"), alert.alias("alert"))
+    return (F.col("baseline") > 0) & (F.col("current") > F.col("baseline") * factor)
 
 
 def all_alerts(runs: DataFrame, n_baseline: int = 5) -> DataFrame:
-    """(run_id, monitor, level, detail) of the five monitors; only raised alerts."""
-    parts = [
-        pass_rate_drift(runs, n_baseline).where("alert").select("run_id", F.lit("pass_rate").alias("monitor"), "level", F.lit("pass_rate").alias("detail")),
-        tier1_drift(runs, n_baseline).where("alert").select("run_id", F.lit("tier1").alias("monitor"), "level", F.lit("tier1_rate").alias("detail")),
-        flag_rate_alert(runs).where("alert").select("run_id", F.lit("hallucination").alias("monitor"), "level", F.lit("hallucination_rate").alias("detail")),
-        null_rate_drift(runs, n_baseline).where("alert").select("run_id", F.lit("null_rate").alias("monitor"), F.lit("WARN").alias("level"), F.col("field").alias("detail")),
-        usage_drift(runs, n_baseline).where("alert").select("run_id", F.lit("usage").alias("monitor"), F.lit("WARN").alias("level"), F.col("metric").alias("detail")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(run_id, monitor, level, detail) of the five monitors, only raised alerts, from one set of baselines."""
+    based = baselines(runs, list(WATCHED), n_baseline)
+    m, now, before = F.col("metric"), F.col("current"), F.col("baseline")
+    drifted = (
+        F.when(m == "pass_rate", before - now > PASS_DROP)
+        .when(m == "tier1_rate", F.abs(now - before) > TIER1_CHANGE)
+        .when(m.startswith("null_rate_"), now - before > NULL_RISE)
+        .when(m.isin(*USAGE_FACTORS), _spike())
+    )
+    raised = F.when(m == "hallucination_rate", now > FLAG_RATE).otherwise(drifted & (F.col("n_prior") >= 2))
+    monitor = F.when(m == "pass_rate", "pass_rate").when(m == "tier1_rate", "tier1").when(m == "hallucination_rate", "hallucination").when(m.startswith("null_rate_"), "null_rate").otherwise("usage")
+    level = F.when(m == "hallucination_rate", "CRITICAL").otherwise("WARN")
+    return based.where(raised).select("run_id", monitor.alias("monitor"), level.alias("level"), F.regexp_replace("metric", "^null_rate_", "").alias("detail"))
 
 
 def rolling_history(runs: DataFrame, name: str, n_baseline: int = 5) -> DataFrame:

@@ -116,7 +116,7 @@ def semantic_metrics_ngram(spark: SparkSession, d: str) -> DataFrame:
 def combined_score(spark: SparkSession, d: str) -> DataFrame:
     pairs = _pairs(spark, d)
     sims = semantic.semantic_metrics(semantic.score_pairs(pairs, _embedder(spark, d)))
-    return semantic.combined_score(scoring.score_fields(pairs), sims).join(semantic.mean_of_scored(sims)).withColumns(_six("combined_score", "mean_similarity"))
+    return semantic.combined_score(scoring.score_fields(pairs), sims).withColumn("mean_similarity", semantic.mean_of_scored(sims).scalar()).withColumns(_six("combined_score", "mean_similarity"))
 
 
 def embedding_cosine(spark: SparkSession, d: str) -> DataFrame:
@@ -150,19 +150,30 @@ def hallucination_alert(spark: SparkSession, d: str) -> DataFrame:
     return runs.flag_rate_alert(table(spark, d, "run_log"))
 
 
-def drift_null_rates(spark: SparkSession, d: str) -> DataFrame:
+def _with_null_rates(spark: SparkSession, d: str) -> DataFrame:
+    """The run log with each run's null shares added to its metrics, from its records."""
     rates = scoring.field_null_rates(_preds(spark, d), ["run_id"])
-    logged = F.map_from_arrays(F.array(*[F.lit(c) for c in rates.columns[1:]]), F.array(*rates.columns[1:])).alias("_rates")
+    names = rates.columns[1:]
+    logged = F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*names)).alias("_rates")
     log = table(spark, d, "run_log").join(rates.select("run_id", logged), "run_id", "left")
-    return runs.null_rate_drift(log.withColumn("metrics", F.coalesce(F.col("_rates"), F.col("metrics"))).drop("_rates"))
+    own = F.map_filter("metrics", lambda k, _: ~k.startswith("null_rate_"))
+    return log.withColumn("metrics", F.when(F.col("_rates").isNull(), F.col("metrics")).otherwise(F.map_concat(F.coalesce(own, F.expr("cast(map() as map<string, double>)")), "_rates"))).drop("_rates")
+
+
+def drift_null_rates(spark: SparkSession, d: str) -> DataFrame:
+    found = runs.null_rate_drift(_with_null_rates(spark, d))
+    shown = F.transform("field_alerts", lambda x: F.concat(x["field"], F.format_string(" %.4f %.4f %.4f", x["current"], x["baseline"], x["delta"])))
+    return found.withColumn("field_alerts", F.array_join(shown, "; "))
 
 
 def drift_usage(spark: SparkSession, d: str) -> DataFrame:
-    return runs.usage_drift(table(spark, d, "run_log"))
+    found = runs.usage_drift(table(spark, d, "run_log"))
+    shown = F.transform("metric_alerts", lambda x: F.concat(x["metric"], F.format_string(" %.2f %.2f %.2f", x["current"], x["baseline"], x["ratio"])))
+    return found.withColumn("metric_alerts", F.array_join(shown, "; "))
 
 
 def run_alerts(spark: SparkSession, d: str) -> DataFrame:
-    return runs.all_alerts(table(spark, d, "run_log"))
+    return runs.all_alerts(_with_null_rates(spark, d))
 
 
 def rolling_pass_rate(spark: SparkSession, d: str) -> DataFrame:

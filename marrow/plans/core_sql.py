@@ -150,17 +150,32 @@ def _baseline(metrics: list[str], log: str = "run_log") -> str:
     based AS (SELECT r.run_id, count(o.run_id) AS n_prior, {cur}, {avgs} FROM {log} r LEFT JOIN nth ON nth.run_id = r.run_id AND n <= 5 LEFT JOIN latest o ON o.run_id = nth.other GROUP BY r.run_id)"""
 
 
-def _change(metric: str, test: str) -> str:
-    alert = f"(coalesce({test}, false) AND n_prior >= 2)"
+def _change(metric: str, delta: str, limit: float, verb: str) -> str:
+    known = "(n_prior >= 2 AND c0 IS NOT NULL AND b0 IS NOT NULL)"
+    alert = f"coalesce({known} AND {delta} > {limit}, false)"
     return f"""WITH {_baseline([metric])}
     SELECT run_id, {alert} AS alert, CASE WHEN c0 IS NULL THEN 'OK' WHEN n_prior < 2 THEN 'INSUFFICIENT_DATA' WHEN {alert} THEN 'WARN' ELSE 'OK' END AS level,
-      round(c0, 6) AS current, round(b0, 6) AS baseline, CASE WHEN n_prior >= 2 THEN round(c0 - b0, 4) END AS delta FROM based"""
+      CASE WHEN c0 IS NULL THEN '{metric} not logged in this run' WHEN n_prior < 2 THEN 'fewer than 2 finished runs to compare with' WHEN b0 IS NULL THEN '{metric} not logged in the runs before'
+        ELSE '{metric} ' || CASE WHEN {alert} THEN '{verb}' ELSE 'within range' END || ': ' || printf('%.1f', b0 * 100) || '% -> ' || printf('%.1f', c0 * 100) || '%' END AS message,
+      round(c0, 6) AS current, round(b0, 6) AS baseline, CASE WHEN {known} THEN round({delta}, 4) ELSE 0.0 END AS delta FROM based"""
 
 
-_USAGE = f"""WITH {_baseline(['mean_output_tokens', 'mean_latency_s'])}, u AS (
-      SELECT run_id, n_prior, 'mean_output_tokens' AS metric, c0 AS c, b0 AS b, 1.5 AS f FROM based UNION ALL SELECT run_id, n_prior, 'mean_latency_s', c1, b1, 2.0 FROM based)
-    SELECT run_id, metric, n_prior, round(c, 2) AS current, round(b, 2) AS baseline, round(c / nullif(b, 0), 2) AS ratio, (coalesce(b > 0 AND c > b * f, false) AND n_prior >= 2) AS alert FROM u WHERE c IS NOT NULL"""
+_TIER1 = ("tier1_rate", "abs(c0 - b0)", 0.10, "moved")
+_PASS = ("pass_rate", "b0 - c0", 0.10, "fell")
+
+
+def _payload(rows: str, hit: str, shown: str, item: str, alerts: str, calm: str, warn: str, name: str) -> str:
+    """One row a run over ``rows`` (run_id, n_prior, nth, metric, c, b)."""
+    return f"""h AS (SELECT *, coalesce(c IS NOT NULL AND n_prior >= 2 AND {hit}, false) AS hit FROM ({rows})),
+    g AS (SELECT run_id, max(n_prior) AS n_prior, count(c) AS n, count(*) FILTER (hit) AS k, coalesce(string_agg({item}, '; ' ORDER BY nth) FILTER (hit), '') AS items, string_agg({shown}, ', ' ORDER BY nth) FILTER (hit) AS shown FROM h GROUP BY run_id)
+    SELECT run_id, k > 0 AS alert, CASE WHEN n = 0 THEN 'OK' WHEN n_prior < 2 THEN 'INSUFFICIENT_DATA' WHEN k > 0 THEN 'WARN' ELSE 'OK' END AS level,
+      CASE WHEN n = 0 THEN '{name} not logged in this run' WHEN n_prior < 2 THEN 'fewer than 2 finished runs to compare with' WHEN k > 0 THEN '{warn}: ' || shown ELSE n || ' {calm} within range' END AS message, items AS {alerts} FROM g"""
+
+
+_USAGE_ROWS = "SELECT run_id, n_prior, 1 AS nth, 'mean_output_tokens' AS metric, c0 AS c, b0 AS b, 1.5 AS f FROM based UNION ALL SELECT run_id, n_prior, 2, 'mean_latency_s', c1, b1, 2.0 FROM based"
+_USAGE_HIT = "b > 0 AND c > b * f"
 _NULLS = [f"null_rate_{f.replace('.', '_')}" for f in _FIELDS]
+_NULL_ROWS = " UNION ALL ".join(f"SELECT run_id, n_prior, {k} AS nth, '{m[10:]}' AS metric, c{k} AS c, b{k} AS b FROM based" for k, m in enumerate(_NULLS))
 _NULL_LOG = f"""rates AS (SELECT run_id, {_NULL_RATES} FROM extractions GROUP BY run_id),
     log AS (SELECT r.run_id, experiment, status, end_time, CASE WHEN q.run_id IS NULL THEN metrics ELSE MAP {{{', '.join(f"'{m}': q.{m}" for m in _NULLS)}}} END AS metrics FROM run_log r LEFT JOIN rates q ON q.run_id = r.run_id)"""
 _COUNTERS = f"""SELECT run_id, count(*) AS total, count(*) FILTER (validation_status = 'valid') AS valid, count(*) FILTER (validation_status = 'vocab_flagged') AS vocab_flagged,
@@ -225,16 +240,18 @@ SQL: dict[str, str] = {
       SELECT c.*, a.mean_similarity, a.mean_similarity_complete, u.hallucination_rate, u.avg_cost, u.avg_latency_ms, u.trait FROM c JOIN a ON a.model = c.model JOIN u ON u.model = c.model""",
     "cost_per_record": f"SELECT model, round(avg({_COST}), 6) AS cost_per_record, round(sum({_COST}), 6) AS total_cost, count(*) AS n_rows FROM extractions GROUP BY model",
     "run_counters": _COUNTERS,
-    "drift_tier1": _change("tier1_rate", "abs(c0 - b0) > 0.10"),
-    "drift_pass_rate": _change("pass_rate", "b0 - c0 > 0.10"),
-    "hallucination_alert": "SELECT run_id, coalesce(metrics['hallucination_rate'] > 0.08, false) AS alert, CASE WHEN metrics['hallucination_rate'] > 0.08 THEN 'CRITICAL' ELSE 'OK' END AS level, metrics['hallucination_rate'] AS rate, coalesce(metrics['hallucination_rate'] > 0.08, false) AS should_pause FROM run_log",
-    "drift_null_rates": f"""WITH {_NULL_LOG}, {_baseline(_NULLS, 'log')}, u AS ({" UNION ALL ".join(f"SELECT run_id, n_prior, '{m[10:]}' AS field, c{k} AS c, b{k} AS b FROM based" for k, m in enumerate(_NULLS))})
-      SELECT run_id, field, n_prior, round(c, 4) AS current, round(b, 4) AS baseline, round(c - b, 4) AS delta, (coalesce(c - b > 0.15, false) AND n_prior >= 2) AS alert FROM u WHERE c IS NOT NULL""",
-    "drift_usage": _USAGE,
-    "run_alerts": f"""SELECT run_id, 'pass_rate' AS monitor, level, 'pass_rate' AS detail FROM ({_change('pass_rate', 'b0 - c0 > 0.10')}) WHERE alert
-      UNION ALL SELECT run_id, 'tier1', level, 'tier1_rate' FROM ({_change('tier1_rate', 'abs(c0 - b0) > 0.10')}) WHERE alert
+    "drift_tier1": _change(*_TIER1),
+    "drift_pass_rate": _change(*_PASS),
+    "hallucination_alert": """SELECT run_id, coalesce(r > 0.08, false) AS alert, CASE WHEN r > 0.08 THEN 'CRITICAL' ELSE 'OK' END AS level, coalesce(round(r, 4), 0.0) AS rate, coalesce(r > 0.08, false) AS should_pause,
+        CASE WHEN r IS NULL THEN 'hallucination_rate not logged in this run' ELSE 'hallucination_rate ' || CASE WHEN r > 0.08 THEN 'above' ELSE 'within' END || ' 8%: ' || printf('%.1f', r * 100) || '%' END AS message
+      FROM (SELECT run_id, metrics['hallucination_rate'] AS r FROM run_log)""",
+    "drift_null_rates": f"""WITH {_NULL_LOG}, {_baseline(_NULLS, 'log')}, {_payload(_NULL_ROWS, 'c - b > 0.15', "metric || ' (+' || printf('%.0f', (c - b) * 100) || '%)'", "metric || printf(' %.4f %.4f %.4f', c, b, c - b)", 'field_alerts', 'null shares', 'null shares rose', 'null shares')}""",
+    "drift_usage": f"""WITH {_baseline(['mean_output_tokens', 'mean_latency_s'])}, {_payload(_USAGE_ROWS, _USAGE_HIT, "metric || printf(' (%.1fx)', c / b)", "metric || printf(' %.2f %.2f %.2f', c, b, c / b)", 'metric_alerts', 'usage metrics', 'usage rose', 'usage')}""",
+    "run_alerts": f"""SELECT run_id, 'pass_rate' AS monitor, level, 'pass_rate' AS detail FROM ({_change(*_PASS)}) WHERE alert
+      UNION ALL SELECT run_id, 'tier1', level, 'tier1_rate' FROM ({_change(*_TIER1)}) WHERE alert
       UNION ALL SELECT run_id, 'hallucination', 'CRITICAL', 'hallucination_rate' FROM run_log WHERE metrics['hallucination_rate'] > 0.08
-      UNION ALL SELECT run_id, 'usage', 'WARN', metric FROM ({_USAGE}) WHERE alert""",
+      UNION ALL SELECT run_id, 'null_rate', 'WARN', metric FROM (WITH {_NULL_LOG}, {_baseline(_NULLS, 'log')} {_NULL_ROWS}) WHERE c - b > 0.15 AND n_prior >= 2
+      UNION ALL SELECT run_id, 'usage', 'WARN', metric FROM (WITH {_baseline(['mean_output_tokens', 'mean_latency_s'])} {_USAGE_ROWS}) WHERE {_USAGE_HIT} AND n_prior >= 2""",
     "rolling_pass_rate": """WITH v AS (SELECT run_id, experiment, metrics['pass_rate'] AS value, avg(metrics['pass_rate']) OVER w AS baseline, count(*) OVER w AS n_prior FROM run_log WHERE status = 'FINISHED'
       WINDOW w AS (PARTITION BY experiment ORDER BY end_time NULLS FIRST, run_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING))
       SELECT run_id, experiment, round(value, 6) AS value, round(baseline, 6) AS baseline, n_prior, round(value - baseline, 6) AS delta FROM v""",

@@ -24,9 +24,14 @@ def get(df, run):
 def test_drift_levels(spark):
     some = log(spark, *[{"tier1_rate": x, "pass_rate": 1 - x} for x in (0.5, 0.5, 0.5, 0.75)])
     assert get(runs.tier1_drift(some), "r3").level == "WARN" and get(runs.pass_rate_drift(some), "r3").level == "WARN"
-    assert get(runs.pass_rate_drift(some), "r3").delta == -0.25
+    # the drop, positive where the rate fell; either way for tier 1
+    assert get(runs.pass_rate_drift(some), "r3").delta == 0.25 and get(runs.tier1_drift(some), "r3").delta == 0.25
+    better = log(spark, *[{"tier1_rate": x, "pass_rate": 1 - x} for x in (0.5, 0.5, 0.5, 0.25)])
+    assert get(runs.pass_rate_drift(better), "r3").delta == -0.25 and get(runs.pass_rate_drift(better), "r3").level == "OK" and get(runs.tier1_drift(better), "r3").delta == 0.25
+    assert get(runs.tier1_drift(some), "r3").message == "tier1_rate moved: 50.0% -> 75.0%"
     assert get(runs.tier1_drift(log(spark, {"tier1_rate": 0.5}, {"tier1_rate": 0.9})), "r1").level == "INSUFFICIENT_DATA"
     assert get(runs.tier1_drift(log(spark, {"x": 1.0}, {"tier1_rate": 0.9})), "r0").level == "OK"
+    assert get(runs.tier1_drift(log(spark, {"x": 1.0}, {"tier1_rate": 0.9})), "r0").delta == 0.0
     assert get(runs.tier1_drift(log(spark, {"x": 1.0}, {"x": 1.0}, {"tier1_rate": 0.9})), "r2").level == "OK"
 
 
@@ -40,9 +45,13 @@ def test_baseline_leaves_out_failed_runs_nan_and_older_than_five(spark):
 def test_thresholds_are_strict(spark):
     assert [r.level for r in runs.flag_rate_alert(log(spark, {"hallucination_rate": 0.08}, {"hallucination_rate": 0.081}, {})).orderBy("run_id").collect()] == ["OK", "CRITICAL", "OK"]
     usage = runs.usage_drift(log(spark, *[{"mean_output_tokens": x} for x in (100.0, 100.0, 150.0, 250.0)]))
-    assert not get(usage, "r2").alert and get(usage, "r3").alert
+    assert not get(usage, "r2").alert and get(usage, "r3").alert and get(usage, "r0").level == "OK"
+    assert [tuple(x) for x in get(usage, "r3").metric_alerts] == [("mean_output_tokens", 250.0, 116.67, 2.14)] and get(usage, "r3").message == "usage rose: mean_output_tokens (2.1x)"
+    few = runs.usage_drift(log(spark, {"mean_latency_s": 1.0}, {"x": 1.0}))
+    assert [get(few, r).level for r in ("r0", "r1")] == ["INSUFFICIENT_DATA", "OK"]
     nulls = runs.null_rate_drift(log(spark, *[{"null_rate_tumor_grade": x} for x in (0.25, 0.25, 0.25, 0.5)]))
-    assert get(nulls, "r3").alert and not get(nulls, "r0").alert
+    assert [tuple(x) for x in get(nulls, "r3").field_alerts] == [("tumor_grade", 0.5, 0.25, 0.25)] and not get(nulls, "r0").alert and get(nulls, "r0").field_alerts == []
+    assert {(r.monitor, r.detail) for r in runs.all_alerts(log(spark, *[{"null_rate_tumor_grade": x} for x in (0.25, 0.25, 0.25, 0.5)])).collect()} == {("null_rate", "tumor_grade")}
     assert {r.monitor for r in runs.all_alerts(log(spark, *[{"pass_rate": x} for x in (1.0, 1.0, 0.5)])).collect()} == {"pass_rate"}
 
 
