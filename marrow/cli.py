@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--few-shot")
     run.add_argument("--eval-set")
     run.add_argument("--replay", help="JSON lines of report_id, attempt, raw_text, tokens; answers without a model")
+    run.add_argument("--prices", help="JSON lines of model, input_price, output_price per million tokens; without it no cost is logged")
     run.add_argument("--experiment", default="extraction")
     run.add_argument("--n-records", type=int, default=0)
     run.add_argument("--seed", type=int, default=42)
@@ -80,6 +81,17 @@ def gold_metrics(preds: DataFrame, golds: DataFrame, with_similarity: bool, orde
     return out
 
 
+def warn_of_overflow(asked: DataFrame, args: argparse.Namespace) -> int:
+    """Warn of prompts that a locally served model's context would cut; how many there are."""
+    if args.model.startswith("openai:"):
+        return 0
+    counted = asked.withColumn("n_tokens", prompts.count_tokens("prompt"))
+    row = counted.where(prompts.context_overflow(F.col("n_tokens"), args.model, args.num_ctx)).agg(F.count(F.lit(1)), F.max("n_tokens"), F.min("report_id")).collect()[0]
+    if row[0]:
+        print(f"{row[0]} prompts have up to {row[1]} tokens (first: {row[2]}), more than the context of {args.num_ctx or prompts.DEFAULT_CONTEXT}; --num-ctx sets a larger one", file=sys.stderr)
+    return row[0]
+
+
 def extraction_run(spark: SparkSession, args: argparse.Namespace) -> int:
     template_path = Path(args.prompt_file)
     if not template_path.is_file():
@@ -91,6 +103,7 @@ def extraction_run(spark: SparkSession, args: argparse.Namespace) -> int:
         records = sampling.dev_subset(records, args.n_records, args.seed)
     output = Path(args.output)
     if output.exists():
+        jsonl.rewrite_deduplicated(spark, args.output)
         records = extract.remaining(records, jsonl.load_results(spark, args.output))
     few_shot = prompts.few_shot_block(args.few_shot) if args.few_shot else None
     store = runs.RunStore(spark, args.store)
@@ -98,17 +111,17 @@ def extraction_run(spark: SparkSession, args: argparse.Namespace) -> int:
         template = template_path.read_text(encoding="utf-8")
         run.log_prompt(version, template)
         asked = prompts.build_prompts(records, template, few_shot).select("report_id", "cancer_type", "truncated", "prompt")
+        warn_of_overflow(asked, args)
+        correct = None if extract.provider_of(args.model).get("structured") else extract.reply_problem
         if args.replay:
             schema = "report_id string, attempt int, raw_text string, input_tokens long, output_tokens long, latency_ms double"
-            stored = {(r.report_id, r.attempt or 1): extract.Reply(r.raw_text, r.input_tokens or 0, r.output_tokens or 0, r.latency_ms or 0.0) for r in spark.read.schema(schema).json(args.replay).toLocalIterator()}
-            make = lambda: extract.ReplayResponder(stored)
+            answered = extract.replay(asked, spark.read.schema(schema).json(args.replay), correct=correct)
         else:
             model, most, context = args.model, args.max_tokens, args.num_ctx
-            make = lambda: extract.HttpResponder(model, None, most, context)
-        correct = None if extract.provider_of(args.model).get("structured") else extract.json_problem
+            answered = extract.call_models(asked, lambda: extract.HttpResponder(model, None, most, context), correct=correct)
         # replies are kept before anything is computed from them, so no model call is repeated
         replies = f"{args.store}/replies/{run.run_id}"
-        extract.call_models(asked, make, correct=correct).write.parquet(replies)
+        answered.write.parquet(replies)
         checked = validate.validate(spark.read.parquet(replies))
         if not args.debug:
             checked = checked.withColumn("raw_text", F.left("raw_text", F.lit(500)))
@@ -121,8 +134,10 @@ def extraction_run(spark: SparkSession, args: argparse.Namespace) -> int:
             "mean_latency_s": round(counters["avg_latency_ms"] / 1000, 4),
             **{k: counters[k] for k in ("total_input_tokens", "total_output_tokens")},
             **{k: round(counters[k], 1) for k in ("mean_input_tokens", "mean_output_tokens")},
-            "total_cost": compare.record_cost(None, everything).agg(F.coalesce(F.sum("cost"), F.lit(0.0))).collect()[0][0],
         }
+        if args.prices:
+            prices = spark.read.schema("model string, input_price double, output_price double").json(args.prices)
+            metrics["total_cost"] = compare.record_cost(prices, everything).agg(F.coalesce(F.sum("cost"), F.lit(0.0))).collect()[0][0]
         if args.eval_set and Path(args.eval_set).exists():
             golds = jsonl.load_records(spark, args.eval_set, GOLD)
             run.log_dataset(args.eval_set, golds.count())

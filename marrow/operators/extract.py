@@ -1,9 +1,9 @@
 """Extraction runs: resume, model calls per partition, validation, run figures.
 
-Model calls sit behind ``Responder``; the only one that needs no network replays stored
-replies. A reply that fails the schema is asked for once more inside the same call, so no
-replayed task doubles a request within a partition; write the raw replies before reading
-metrics from them.
+Model calls sit behind ``Responder``; without a network, stored replies are joined to the
+prompts and replayed. A reply of a model without structured output that is no JSON or fails
+the schema is asked for once more, with what is wrong, inside the same call; write the raw
+replies before reading metrics from them.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from marrow.operators.scoring import first_by, passed, ratio
-from marrow.plans.fields import RESULT
+from marrow.operators.validate import CHECKED
+from marrow.plans.fields import EXTRACTION, RESULT
 
 #: Seconds to wait and how a provider constrains its output.
 PROVIDERS = {"openai": {"timeout": 120, "structured": True}, "ollama": {"timeout": 1800, "structured": False, "format": "json"}, "": {"timeout": 600, "structured": False}}
@@ -79,7 +80,7 @@ class HttpResponder:
             url = self.base_url.removesuffix("/v1").rstrip("/") + "/api/chat"
         else:
             body |= request_options(self.model, self.max_tokens)
-            body |= {"response_format": {"type": "json_object"}} if config["structured"] else {"format": config["format"]} if "format" in config else {}
+            body |= {"response_format": {"type": "json_schema", "json_schema": {"name": "extraction", "strict": True, "schema": reply_schema()}}} if config["structured"] else {"format": config["format"]} if "format" in config else {}
             body |= {"options": context} if context else {}
             url = self.base_url.rstrip("/") + "/chat/completions"
         began = time.monotonic()
@@ -119,30 +120,86 @@ def call_models(prompts: DataFrame, make: Callable[[], Responder], key: str = "r
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         responder = make()
         for batch in batches:
-            replies = [ask(responder, k, p, correct) for k, p in zip(batch[key], batch["prompt"], strict=True)]
-            yield batch[keep].assign(
-                raw_text=[r.raw_text for r in replies],
-                input_tokens=[r.input_tokens for r in replies],
-                output_tokens=[r.output_tokens for r in replies],
-                latency_ms=[round(r.latency_ms, 1) for r in replies],
-            )
+            yield _with_replies(batch[keep], [ask(responder, k, p, correct) for k, p in zip(batch[key], batch["prompt"], strict=True)])
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in prompts.select(*keep).dtypes) + ", raw_text string, input_tokens long, output_tokens long, latency_ms double"
-    return prompts.mapInPandas(call, schema)
+    return prompts.mapInPandas(call, _reply_schema(prompts, keep))
 
 
-def json_problem(raw: str | None) -> str | None:
-    """Correction hint of a reply that is no JSON object, for use inside a worker."""
+def _with_replies(batch: pd.DataFrame, replies: list[Reply]) -> pd.DataFrame:
+    return batch.assign(
+        raw_text=[r.raw_text for r in replies],
+        input_tokens=[r.input_tokens for r in replies],
+        output_tokens=[r.output_tokens for r in replies],
+        latency_ms=[round(r.latency_ms, 1) for r in replies],
+    )
+
+
+def _reply_schema(prompts: DataFrame, keep: list[str]) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in prompts.select(*keep).dtypes) + ", raw_text string, input_tokens long, output_tokens long, latency_ms double"
+
+
+def replay(prompts: DataFrame, stored: DataFrame, key: str = "report_id", correct: Callable[[str | None], str | None] | None = None) -> DataFrame:
+    """``call_models`` answered by stored replies (key, attempt, raw_text, tokens, latency), joined by key.
+
+    The last reply of an attempt counts; a missing second attempt repeats the first.
+    """
+    parts = ["raw_text", "input_tokens", "output_tokens", "latency_ms"]
+    reply = F.struct(F.coalesce("attempt", F.lit(1)).alias("attempt"), *parts)
+    known = stored.groupBy(key).agg(F.array_sort(F.collect_list(reply)).alias("_replies"))
+    keep = [c for c in prompts.columns if c != "prompt"]
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            replies = []
+            for k, p, found in zip(batch[key], batch["prompt"], batch["_replies"], strict=True):
+                by_attempt = {r["attempt"]: Reply(r["raw_text"], r["input_tokens"] or 0, r["output_tokens"] or 0, r["latency_ms"] or 0.0) for r in (found if found is not None else ())}
+                replies.append(ask(ReplayResponder({(k, a): r for a, r in by_attempt.items()}), k, p, correct))
+            yield _with_replies(batch[keep], replies)
+
+    return prompts.join(known, key, "left").mapInPandas(call, _reply_schema(prompts, keep))
+
+
+_HINT = "Answer with the corrected JSON object alone: it starts with { and ends with }, without markdown."
+
+
+def reply_problem(raw: str | None) -> str | None:
+    """What to tell a model whose reply is no JSON object or fails the schema, for use inside a worker; None if it is sound.
+
+    The same rules as ``validate.correction`` has for columns.
+    """
     text = (raw or "").strip()
     if "```" in text:
         text = text.split("```")[1].removeprefix("json")
     at = text.find("{")
     try:
-        if at >= 0 and isinstance(json.loads(text[at:].strip()), dict):
-            return None
+        data = json.loads(text[at:].strip(), parse_constant=_no_constant) if at >= 0 else None
     except ValueError:
-        pass
-    return "\n\nThe last answer was no valid JSON. Answer with the JSON object alone."
+        data = None
+    if not isinstance(data, dict):
+        return f"\n\nThe last answer was no valid JSON. {_HINT}"
+    errors = []
+    for path, cls in CHECKED:
+        value = data
+        for part in path.split("."):
+            value = value.get(part) if isinstance(value, dict) else None
+        if cls and value is not None and not isinstance(value, dict):
+            errors.append(f"- {path}: Input should be a valid dictionary or instance of {cls}")
+        elif not cls and value is not None and not isinstance(value, str):
+            errors.append(f"- {path}: Input should be a valid string")
+    return "\n\nThe last answer did not fit the schema:\n" + "\n".join(errors) + f"\n{_HINT}" if errors else None
+
+
+def _no_constant(name: str) -> float:
+    raise ValueError(name)
+
+
+def reply_schema(kind: T.DataType = EXTRACTION) -> dict[str, object]:
+    """JSON schema of a reply, as providers with structured output take it: every key present, any value may be null."""
+    if isinstance(kind, T.StructType):
+        return {"type": ["object", "null"] if kind is not EXTRACTION else "object", "properties": {f.name: reply_schema(f.dataType) for f in kind.fields}, "required": kind.names, "additionalProperties": False}
+    if isinstance(kind, T.ArrayType):
+        return {"type": ["array", "null"], "items": {"type": "string"}}
+    return {"type": ["string", "null"]}
 
 
 def remaining(records: DataFrame, done: DataFrame, key: str = "report_id") -> DataFrame:

@@ -11,11 +11,15 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from marrow.functions.bpe import BYTE_BPE_50K, available, encoding
 from marrow.plans.fields import EXTRACTION
 
 #: Marks in a template, and the most tokens of a report.
 REPORT_MARK, SKELETON_MARK, SECTION = "<<report_text>>", "<<output_skeleton>>", "PATHOLOGY REPORT:"
 MAX_REPORT_TOKENS = 7800
+#: Fixed value: context of a locally served model unless another is asked for.
+DEFAULT_CONTEXT = 4096
+#: Fixed value: the sentence that leads the examples.
 FEW_SHOT_HEAD = "---\n\nFEW-SHOT EXAMPLES (for reference only — do not copy, extract from the report below):\n\n"
 
 
@@ -26,7 +30,7 @@ class Tokenizer(Protocol):
 
 
 class WordTokenizer:
-    """Offline default: words, digits in threes, single signs. An approximation of BPE counts."""
+    """Words, digits in threes, single signs: an approximation of BPE counts where no vocabulary is at hand."""
 
     pattern = re.compile(r"\s*(?:[^\W\d_]{1,6}|\d{1,3}|[^\w\s]|_)|\s+")
 
@@ -42,6 +46,28 @@ class WordTokenizer:
         return text, False
 
 
+class BpeTokenizer:
+    """Tokens of a byte-level BPE vocabulary file, which each worker reads once by its path."""
+
+    def __init__(self, path: str = BYTE_BPE_50K):
+        self.path = path
+
+    def _encoding(self):
+        return encoding(self.path)
+
+    def count(self, text: str) -> int:
+        return len(self._encoding().encode_ordinary(text))
+
+    def truncate(self, text: str, most: int) -> tuple[str, bool]:
+        ids = self._encoding().encode_ordinary(text)
+        return (text, False) if len(ids) <= most else (self._encoding().decode(ids[:most]), True)
+
+
+def default_tokenizer() -> Tokenizer:
+    """The BPE vocabulary where its file and library are at hand, else the approximation."""
+    return BpeTokenizer() if available() else WordTokenizer()
+
+
 def _empty(kind: T.DataType) -> object:
     return {f.name: _empty(f.dataType) for f in kind.fields} if isinstance(kind, T.StructType) else None
 
@@ -71,7 +97,7 @@ def fill(text: Column, template: str, few_shot: str | None = None) -> Column:
 
 
 def count_tokens(text: str, tokenizer: Tokenizer | None = None) -> Column:
-    tokenizer = tokenizer or WordTokenizer()
+    tokenizer = tokenizer or default_tokenizer()
 
     @F.pandas_udf(T.LongType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -83,7 +109,7 @@ def count_tokens(text: str, tokenizer: Tokenizer | None = None) -> Column:
 
 def truncate(text: str, most: int = MAX_REPORT_TOKENS, tokenizer: Tokenizer | None = None) -> Column:
     """struct(text, truncated)."""
-    tokenizer = tokenizer or WordTokenizer()
+    tokenizer = tokenizer or default_tokenizer()
 
     @F.pandas_udf("text string, truncated boolean")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -107,7 +133,7 @@ def context_overflow(prompt_tokens: Column, model: str, num_ctx: int | None = No
     """Whether a locally served model's context is too small for the prompt."""
     if model.startswith("openai:"):
         return F.lit(False)
-    return prompt_tokens > (num_ctx or 4096)
+    return prompt_tokens > (num_ctx or DEFAULT_CONTEXT)
 
 
 def version_of(path: str) -> str:

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marrow.functions.text import pylower, pystrip
+from marrow.functions.text import let, pylower, pystrip
 from marrow.functions.vocab import vocab_flags
 from marrow.plans.fields import SCHEMA_VERSION
 
 _SENTINEL = "end-of-reply"
 #: Fields that must be text or missing, in the order they are reported, and the two objects.
-_ORDER = (
+CHECKED = (
     ("patient", "PatientIdentification"), ("primary_site", None), ("histological_diagnosis", None), ("histological_subtype", None),
     ("tumor_grade", None), ("tnm_stage", "TNMStage"), ("tnm_stage.T", None), ("tnm_stage.N", None), ("tnm_stage.M", None),
     ("tnm_stage.edition", None), ("specimen_type", None), ("extraction_notes", None),
@@ -47,7 +47,7 @@ def _kind(data: Column, path: str) -> Column:
 def schema_errors(data: Column) -> Column:
     """One line for each field of a wrong type, in schema order."""
     lines = []
-    for path, cls in _ORDER:
+    for path, cls in CHECKED:
         kind = _kind(data, path)
         if cls:
             bad = kind.isNotNull() & (kind != "VOID") & ~F.startswith(kind, F.lit("OBJECT"))
@@ -132,10 +132,16 @@ def validate(replies: DataFrame, raw: str = "raw_text") -> DataFrame:
 
 def correction(raw: Column) -> Column:
     """What to tell a model whose reply must be asked for again; NULL if the reply is sound."""
-    data = parse_json(raw)
-    errors = schema_errors(data)
     ask = "Answer with the corrected JSON object alone: it starts with { and ends with }, without markdown."
-    return (
-        F.when(data.isNull(), F.lit(f"\n\nThe last answer was no valid JSON. {ask}"))
-        .when(F.size(errors) > 0, F.concat(F.lit("\n\nThe last answer did not fit the schema:\n"), F.array_join(errors, "\n"), F.lit(f"\n{ask}")))
-    )
+    return let(
+        problems(raw),
+        lambda errors: F.when(errors == NO_JSON, F.lit(f"\n\nThe last answer was no valid JSON. {ask}")).when(errors != "", F.concat(F.lit("\n\nThe last answer did not fit the schema:\n"), errors, F.lit(f"\n{ask}"))),
+    )
+
+
+NO_JSON = "no json"
+
+
+def problems(raw: Column) -> Column:
+    """Lines of the type errors of a reply, empty if it is sound, ``NO_JSON`` if it is none; parsed once."""
+    return let(parse_json(raw), lambda data: F.when(data.isNull(), NO_JSON).otherwise(F.array_join(schema_errors(data), "\n")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from marrow.functions.grades import laterality, parse_grade
 from marrow.functions.text import normalize, pystrip
@@ -28,7 +28,7 @@ def _golds(spark: SparkSession, d: str) -> DataFrame:
 
 def _embedder(spark: SparkSession, d: str) -> semantic.LookupEmbedder:
     """Vectors of the embeddings table, by a plain function of the string; for checks only."""
-    return semantic.LookupEmbedder(table(spark, d, "embeddings"), "vec_id", "embedding", (F.char_length("value") * 31 + F.ascii("value")) % 500)
+    return semantic.LookupEmbedder(table(spark, d, "embeddings"), "vec_id", "embedding", (F.char_length("value") * 31 + F.ascii("value")) % table(spark, d, "embeddings").agg(F.count(F.lit(1))).scalar())
 
 
 def _units(spark: SparkSession) -> DataFrame:
@@ -235,27 +235,17 @@ def dev_subset(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _replies(spark: SparkSession, d: str) -> DataFrame:
-    """Replies made from the posts' ids, one of ten kinds each."""
-    docs = table(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("report_id"), F.lit("BRCA").alias("cancer_type"))
-    kinds = [
-        "I cannot extract this.",
-        '{"tnm_stage": "not-an-object"}',
-        '{"tnm_stage": {"T": 42}}',
-        '{"tnm_stage": {"T": "banana", "N": "pN0"}, "tumor_grade": "Grade II-III"}',
-        '```json\n{"tnm_stage": {"T": "pT2", "N": "pN0(i-)(sn)", "M": null}, "tumor_grade": "G2"}\n```',
-        'Here it is: {"primary_site": "breast"} as asked',
-        '{"primary_site": null, "tumor_grade": "weird"}',
-        '{"tnm_stage": {"T": "ypT2", "N": "pN01", "M": "M7"}, "tumor_grade": "x"}',
-        '{"primary_site": true}',
-        '{"tnm_stage": {"T": "pT4b(mult)", "N": "pN1mi", "M": "pM0"}}',
-    ]
-    text = F.get(F.array(*[F.lit(k) for k in kinds]), (F.col("doc_id") % 10).cast("int"))
-    return docs.withColumn("raw_text", text)
+    """Every stored extraction as the reply it came from: the raw text of failures, else its fields as JSON."""
+    fields = ("patient", "primary_site", "histological_diagnosis", "histological_subtype", "tumor_grade", "tnm_stage", "specimen_type", "extraction_notes", "hallucination_flags")
+    written = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    # every third record comes as models often answer: fenced, after a line of prose
+    fenced = F.when(F.col("extraction_id") % 3 == 0, F.concat(F.lit("Here it is:\n```json\n"), written, F.lit("\n```"))).otherwise(written)
+    return _preds(spark, d).select("extraction_id", "report_id", F.coalesce("cancer_type", F.lit("unknown")).alias("cancer_type"), F.coalesce("raw_text", fenced).alias("raw_text"))
 
 
 def parse_validate_status(spark: SparkSession, d: str) -> DataFrame:
     done = validate.validate(_replies(spark, d))
-    return done.select("report_id", "validation_status", F.size("vocab_flags").cast("bigint").alias("n_flags"), F.col("tnm_stage.T").alias("t"), "tumor_grade")
+    return done.select("extraction_id", "validation_status", F.size("vocab_flags").cast("bigint").alias("n_flags"), F.col("tnm_stage.T").alias("t"), "tumor_grade")
 
 
 def failed_replies(spark: SparkSession, d: str) -> DataFrame:
@@ -266,26 +256,19 @@ def failed_replies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def correction_messages(spark: SparkSession, d: str) -> DataFrame:
-    """Errors of the made replies (no extraction_id) and of the stored failures."""
+    """Errors of every stored reply."""
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    data = validate.parse_json(F.col("raw_text"))
-    errors = F.when(data.isNull(), "no json").otherwise(F.array_join(validate.schema_errors(data), "\n"))
-    made = _replies(spark, d).select(F.lit(None).cast("bigint").alias("extraction_id"), "report_id", "raw_text")
-    stored = _preds(spark, d).where("raw_text is not null").select("extraction_id", "report_id", "raw_text")
-    return made.unionByName(stored).select("extraction_id", "report_id", errors.alias("errors"))
+    return _replies(spark, d).select("extraction_id", "report_id", validate.problems(F.col("raw_text")).alias("errors"))
 
 
 def extract_replay(spark: SparkSession, d: str) -> DataFrame:
-    """A whole run over the reports, answered from stored replies, validated."""
-    corpus = table(spark, d, "pilot_corpus").select("record_id", F.col("record_id").cast("string").alias("report_id"), "cancer_type", "text")
-    built = prompts.build_prompts(corpus.withColumn("text", F.coalesce("text", F.lit(""))), TEMPLATE).drop("text")
-    stored = '{"primary_site": "breast", "tumor_grade": "G2", "tnm_stage": {"T": "pT2", "N": "pN0"}}'
-
-    class Always:
-        def respond(self, key: str, prompt: str, attempt: int) -> extract.Reply:
-            return extract.Reply("no json" if attempt == 1 and int(key) % 7 == 0 else stored, len(prompt) // 4, 40, 5.0)
-
-    replies = extract.call_models(built, Always, correct=extract.json_problem)
+    """A whole run over the reports, answered by their stored replies: the first, and the next one where that fails."""
+    corpus = table(spark, d, "pilot_corpus").select("record_id", "report_id", "cancer_type", "style", "text")
+    corpus = scoring.first_by(corpus.where("report_id is not null"), "report_id", "record_id").withColumn("text", F.coalesce("text", F.lit("")))
+    built = prompts.build_prompts(corpus, TEMPLATE).select("report_id", F.coalesce("cancer_type", F.lit("unknown")).alias("cancer_type"), "truncated", "prompt")
+    by_report = W.partitionBy("report_id").orderBy("extraction_id")
+    stored = _replies(spark, d).withColumns({"attempt": F.row_number().over(by_report), "input_tokens": F.lit(10).cast("bigint"), "output_tokens": F.lit(4).cast("bigint"), "latency_ms": F.lit(5.0)}).where("attempt <= 2")
+    replies = extract.replay(built, stored, correct=extract.reply_problem)
     return extract.as_results(validate.validate(replies)).select("report_id", "validation_status", "primary_site", "output_tokens")
 
 

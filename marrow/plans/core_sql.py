@@ -123,7 +123,7 @@ _RULES = f"""facts AS (
     )"""
 _SIM = f"""{_RULES}, sims AS (
       SELECT r.*, CASE WHEN score = -1.0 THEN coalesce(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 0.0) ELSE score END AS similarity
-      FROM ruled r LEFT JOIN embeddings a ON a.vec_id = (length(pred) * 31 + ascii(pred)) % 500 LEFT JOIN embeddings b ON b.vec_id = (length(gold) * 31 + ascii(gold)) % 500
+      FROM ruled r LEFT JOIN embeddings a ON a.vec_id = (length(pred) * 31 + ascii(pred)) % (SELECT count(*) FROM embeddings) LEFT JOIN embeddings b ON b.vec_id = (length(gold) * 31 + ascii(gold)) % (SELECT count(*) FROM embeddings)
     )"""
 
 
@@ -198,6 +198,23 @@ _DELTA_METRICS = {"pass_rate": "true", "hallucination_rate": "false", "weighted_
 _CHECKED = {"tnm_stage.T": _T.format("value"), "tnm_stage.N": _N.format("value"), "tnm_stage.M": _M.format("value"), "tumor_grade": _GRADE_OK.format("value"), "histological_diagnosis": "true", "primary_site": "true"}
 _UNKNOWN = "('', '-', '--', '?', 'unknown', 'unk', 'not known', 'n/a', 'na', 'n.a.', 'nil', 'none', 'none given', 'null', 'not given', 'not stated', 'not available', 'not applicable', 'not recorded', 'not provided', 'not reported', 'missing', 'pending', 'see comment', 'see note', 'see synoptic table', 'same as above')"
 
+#: Stored replies taken apart again: the object, whether it is one, and its type errors in schema order.
+_TEXT_FIELDS = ("primary_site", "histological_diagnosis", "histological_subtype", "tumor_grade")
+_ERRORS = [("patient", "PatientIdentification"), *[(f, None) for f in _TEXT_FIELDS], ("tnm_stage", "TNMStage"), *[(f"tnm_stage.{x}", None) for x in ("T", "N", "M", "edition")], ("specimen_type", None), ("extraction_notes", None)]
+
+
+def _error(path: str, cls: str | None) -> str:
+    kind = f"json_type(obj, '$.{path}')"
+    want = f"Input should be a valid dictionary or instance of {cls}" if cls else "Input should be a valid string"
+    return f"CASE WHEN {kind} NOT IN ('NULL', '{'OBJECT' if cls else 'VARCHAR'}') THEN '- {path}: {want}' END"
+
+
+_JUDGED = f"""parts AS (SELECT *, CASE WHEN contains(raw_text, '```') THEN regexp_replace(split_part(raw_text, '```', 2), '^json', '') ELSE {_strip('raw_text')} END AS inner_text FROM extractions),
+    objects AS (SELECT *, CASE WHEN instr(inner_text, '{{') > 0 THEN substr(inner_text, instr(inner_text, '{{')) END AS obj_text FROM parts),
+    checked AS (SELECT *, raw_text IS NULL OR (obj_text IS NOT NULL AND json_valid(obj_text)) AS is_json FROM objects),
+    readable AS (SELECT *, CASE WHEN raw_text IS NOT NULL AND is_json THEN obj_text::JSON END AS obj FROM checked),
+    judged AS (SELECT *, CASE WHEN obj IS NULL THEN '' ELSE concat_ws(chr(10), {', '.join(_error(p, c) for p, c in _ERRORS)}) END AS errors FROM readable)"""
+
 SQL: dict[str, str] = {
     "p3_profile": f"""WITH long AS ({" UNION ALL ".join(f"SELECT load_no, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, {ok.replace('value', c)} AS ok FROM extractions" for c, ok in _CHECKED.items())}),
       judged AS (SELECT *, (value IS NULL OR lower({_strip('value')}) IN {_UNKNOWN}) AS missing FROM long)
@@ -267,9 +284,19 @@ SQL: dict[str, str] = {
     "style_attach": f"WITH corpus AS (SELECT * FROM pilot_corpus), {_LOOKUP} SELECT e.extraction_id, e.report_id, coalesce(l.style, 'unknown') AS style FROM extractions e LEFT JOIN lookup l ON l.report_id = e.report_id",
     "prompt_build": """SELECT record_id, replace(replace('Read.' || chr(10) || chr(10) || 'PATHOLOGY REPORT:' || chr(10) || '<<report_text>>' || chr(10), '<<report_text>>', text), chr(10) || 'PATHOLOGY REPORT:',
       chr(10) || '---' || chr(10) || chr(10) || 'FEW-SHOT EXAMPLES (for reference only — do not copy, extract from the report below):' || chr(10) || chr(10) || '## Example 1' || chr(10) || chr(10) || 'PATHOLOGY REPORT:') AS prompt FROM pilot_corpus""",
-    "parse_validate_status": """SELECT CAST(doc_id AS VARCHAR) AS report_id,
-      CASE doc_id % 10 WHEN 0 THEN 'json_failed' WHEN 1 THEN 'schema_failed' WHEN 2 THEN 'schema_failed' WHEN 3 THEN 'vocab_flagged' WHEN 4 THEN 'valid' WHEN 5 THEN 'json_failed' WHEN 6 THEN 'vocab_flagged' WHEN 7 THEN 'vocab_flagged' WHEN 8 THEN 'schema_failed' ELSE 'valid' END AS validation_status,
-      CAST(CASE doc_id % 10 WHEN 3 THEN 1 WHEN 6 THEN 1 WHEN 7 THEN 4 ELSE 0 END AS BIGINT) AS n_flags,
-      CASE doc_id % 10 WHEN 3 THEN 'banana' WHEN 4 THEN 'pT2' WHEN 7 THEN 'ypT2' WHEN 9 THEN 'pT4b(mult)' END AS t,
-      CASE doc_id % 10 WHEN 3 THEN 'Grade II-III' WHEN 4 THEN 'G2' WHEN 6 THEN 'weird' WHEN 7 THEN 'x' END AS tumor_grade FROM documents""",
+    "parse_validate_status": f"""WITH {_JUDGED}
+      SELECT extraction_id, CASE WHEN NOT is_json THEN 'json_failed' WHEN errors <> '' OR report_id IS NULL THEN 'schema_failed' WHEN len(flags) > 0 THEN 'vocab_flagged' ELSE 'valid' END AS validation_status,
+        CAST(CASE WHEN is_json AND errors = '' AND report_id IS NOT NULL THEN len(flags) ELSE 0 END AS BIGINT) AS n_flags,
+        CASE WHEN is_json AND errors = '' AND report_id IS NOT NULL THEN tnm_stage.T END AS t, CASE WHEN is_json AND errors = '' AND report_id IS NOT NULL THEN tumor_grade END AS tumor_grade
+      FROM (SELECT * REPLACE (CASE WHEN raw_text IS NULL THEN tumor_grade ELSE json_extract_string(obj, '$.tumor_grade') END AS tumor_grade,
+        CASE WHEN raw_text IS NULL THEN tnm_stage ELSE {{'T': json_extract_string(obj, '$.tnm_stage.T'), 'N': json_extract_string(obj, '$.tnm_stage.N'), 'M': json_extract_string(obj, '$.tnm_stage.M'), 'edition': NULL, 'confidence': NULL}} END AS tnm_stage), {_VOCAB} AS flags FROM judged)""",
+    "failed_replies": f"WITH {_JUDGED} SELECT extraction_id, validation_status, is_json, NOT is_json OR errors <> '' AS asks_again FROM judged WHERE raw_text IS NOT NULL",
+    "correction_messages": f"WITH {_JUDGED} SELECT extraction_id, report_id, CASE WHEN is_json THEN errors ELSE 'no json' END AS errors FROM judged",
+    "extract_replay": f"""WITH {_JUDGED}, asked AS (SELECT DISTINCT report_id FROM pilot_corpus WHERE report_id IS NOT NULL),
+      nth AS (SELECT *, {_VOCAB} AS flags, row_number() OVER (PARTITION BY report_id ORDER BY extraction_id) AS k FROM judged),
+      firsts AS (SELECT * FROM nth WHERE k = 1), seconds AS (SELECT * FROM nth WHERE k = 2),
+      tried AS (SELECT a.report_id, NOT coalesce(f.is_json AND f.errors = '', false) AS again, f, s FROM asked a LEFT JOIN firsts f ON f.report_id = a.report_id LEFT JOIN seconds s ON s.report_id = a.report_id),
+      taken AS (SELECT report_id, again, CASE WHEN again AND s.report_id IS NOT NULL THEN s ELSE f END AS r, CASE WHEN f.report_id IS NULL THEN 0 WHEN again THEN 8 ELSE 4 END AS output_tokens FROM tried)
+      SELECT report_id, CASE WHEN NOT coalesce(r.is_json, false) THEN 'json_failed' WHEN r.errors <> '' THEN 'schema_failed' WHEN r.raw_text IS NULL AND len(r.flags) > 0 THEN 'vocab_flagged' ELSE 'valid' END AS validation_status,
+        CASE WHEN r.is_json AND r.errors = '' AND r.raw_text IS NULL THEN r.primary_site END AS primary_site, CAST(output_tokens AS BIGINT) AS output_tokens FROM taken""",
 }

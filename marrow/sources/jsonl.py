@@ -38,5 +38,26 @@ def write_results(records: DataFrame, path: str) -> None:
     records.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
+def rewrite_deduplicated(spark: SparkSession, path: str) -> int:
+    """Keep the first line of each report of output written before; the number of reports.
+
+    The lines that stay are written beside the output first, which is then replaced by two
+    renames, so an interrupted rewrite loses nothing: the old output stays as ``path``.old
+    until the new one stands in its place.
+    """
+    from marrow.operators.extract import deduplicated
+
+    first = deduplicated(load_results(spark, path)).select("line")
+    new, old = f"{path.rstrip('/')}.new", f"{path.rstrip('/')}.old"
+    first.write.mode("overwrite").text(new)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(hadoop.Path(old), True)
+    if not (fs.rename(hadoop.Path(path), hadoop.Path(old)) and fs.rename(hadoop.Path(new), hadoop.Path(path))):
+        raise OSError(f"cannot replace {path}; its lines are in {old} or {new}")
+    fs.delete(hadoop.Path(old), True)
+    return spark.read.text(path).count()
+
+
 def write_summary(stats: dict[str, object], path: str) -> None:
     Path(path).write_text(json.dumps(stats, indent=2, default=str), encoding="utf-8")

@@ -25,6 +25,7 @@ def test_run_resume_recompute_and_monitors(spark, tmp_path, capsys):
     log = cli.runs.RunStore(spark, store).runs().orderBy("end_time").collect()
     assert [r.metrics["total_input_tokens"] for r in log] == [25.0, 10.0]  # the failed reply was asked for twice
     assert log[1].metrics["pass_rate"] == round(5 / 6, 4) and log[1].params["prompt_version"] == "v1.7" and log[1].metrics["f1_tumor_grade"] == 0.0
+    assert "total_cost" not in log[1].metrics
     assert json.loads((tmp_path / "out.summary.json").read_text())["combined_score"] == log[1].metrics["combined_score"]
     assert cli.main(["recompute", "--predictions", out, "--eval-set", gold, "--store", store, "--run-id", log[1].run_id], spark) == 0
     assert cli.main(["recompute", "--predictions", out, "--eval-set", gold, "--store", store, "--run-id", log[0].run_id], spark) == 1

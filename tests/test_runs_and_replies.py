@@ -136,11 +136,46 @@ def test_stored_failures_have_their_errors(spark, sf):
         return "\n".join(lines)
 
     stored = spark.read.parquet(f"{sf}/extractions.parquet").where("raw_text is not null").collect()
-    got = [r for r in core_queries.correction_messages(spark, sf).collect() if r.extraction_id is not None]
+    failed = {r.extraction_id for r in stored}
+    got = [r for r in core_queries.correction_messages(spark, sf).collect() if r.extraction_id in failed]
     assert stored and sorted((r.extraction_id, r.report_id, r.errors) for r in got) == sorted((r.extraction_id, r.report_id, errors(r.raw_text)) for r in stored)
     assert len({r.errors for r in got}) > 3
 
 
+def test_worker_and_columns_judge_replies_alike(spark):
+    raws = [raw for raw, _, _ in CASES] + ['{"tnm_stage": {"T": 4}, "patient": 1}', '{"a": NaN}', '{"specimen_type": ["x"], "extraction_notes": {}}']
+    rows = spark.createDataFrame(list(enumerate(raws)), "i int, raw string")
+    got = [r.c for r in rows.select("i", validate.correction(F.col("raw")).alias("c")).orderBy("i").collect()]
+    assert got == [extract.reply_problem(raw) for raw in raws] and None in got
+
+
+def test_replayed_replies_are_joined(spark):
+    asked = spark.createDataFrame([("a", "X", "p"), ("b", "X", "p"), ("c", "X", "p")], "report_id string, cancer_type string, prompt string")
+    stored = spark.createDataFrame([("a", 1, GOOD, 1, 1, 1.0), ("b", 1, '{"primary_site": 4}', 1, 1, 1.0), ("b", 2, GOOD, 2, 2, 1.0), ("d", None, GOOD, 1, 1, 1.0)], "report_id string, attempt int, raw_text string, input_tokens long, output_tokens long, latency_ms double")
+    got = {r.report_id: (r.raw_text, r.input_tokens) for r in extract.replay(asked, stored, correct=extract.reply_problem).collect()}
+    assert got == {"a": (GOOD, 1), "b": (GOOD, 3), "c": (None, 0)}
+
+
+def test_structured_requests_carry_the_schema():
+    s = extract.reply_schema()
+    assert s["type"] == "object" and s["properties"]["tnm_stage"]["properties"]["T"] == {"type": ["string", "null"]} and s["additionalProperties"] is False
+    assert s["properties"]["hallucination_flags"] == {"type": ["array", "null"], "items": {"type": "string"}} and set(s["required"]) == set(s["properties"])
+
+
+def test_output_is_rewritten_with_the_first_line_of_each_report(spark, tmp_path):
+    out = str(tmp_path / "out")
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "1.json").write_text('{"report_id": "a", "x": 1}\nbad\n{"report_id": "b"}\n{"report_id": "a", "x": 2}\n')
+    assert jsonl.rewrite_deduplicated(spark, out) == 2
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ['{"report_id": "a", "x": 1}', '{"report_id": "b"}']
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_bpe_tokenizer_counts_and_cuts():
+    t = prompts.BpeTokenizer()
+    assert t.count("") == 0 and t.truncate("one two three", 2) == ("one two", True) and t.truncate("one two", 2) == ("one two", False) and t.count("<|endoftext|>") > 1
+
+
 def test_corrections(spark):
     rows = spark.createDataFrame([(0, "no"), (1, '{"tnm_stage": {"T": 4}, "patient": 1}'), (2, GOOD)], "i int, raw string")
     got = [r.c for r in rows.select("i", validate.correction(F.col("raw")).alias("c")).orderBy("i").collect()]
@@ -170,10 +205,10 @@ def test_retry_happens_once_and_adds_up():
             calls.append(prompt)
             return extract.Reply("bad" if attempt == 1 else '{"a": 1}', 10, 5, 1.5)
 
-    r = extract.ask(Two(), "k", "p", extract.json_problem)
+    r = extract.ask(Two(), "k", "p", extract.reply_problem)
     assert (r.raw_text, r.input_tokens, r.latency_ms, len(calls)) == ('{"a": 1}', 20, 3.0, 2) and calls[1].startswith("p\n\n")
     fine = extract.ReplayResponder({("k", 1): extract.Reply('{"a": 1}')})
-    assert extract.ask(fine, "k", "p", extract.json_problem).raw_text == '{"a": 1}'
+    assert extract.ask(fine, "k", "p", extract.reply_problem).raw_text == '{"a": 1}'
 
 
 def test_http_responder_speaks_both_protocols():
@@ -186,7 +221,7 @@ def test_http_responder_speaks_both_protocols():
     r = extract.HttpResponder("ollama:openbiollm", "http://h/v1", num_ctx=9, post=post).respond("k", "p", 1)
     assert seen["url"] == "http://h/api/chat" and seen["body"]["options"]["num_ctx"] == 9 and r.output_tokens == 2
     r = extract.HttpResponder("openai:o4-mini", "http://h/v1", post=post).respond("k", "p", 1)
-    assert seen["url"] == "http://h/v1/chat/completions" and "temperature" not in seen["body"] and seen["timeout"] == 120 and r.raw_text == "y" and r.input_tokens == 0
+    assert seen["url"] == "http://h/v1/chat/completions" and "temperature" not in seen["body"] and seen["timeout"] == 120 and seen["body"]["response_format"]["type"] == "json_schema" and r.raw_text == "y" and r.input_tokens == 0
 
 
 def test_run_from_prompts_to_files_and_resume(spark, tmp_path):
