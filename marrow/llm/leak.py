@@ -3,7 +3,7 @@
 One Aho-Corasick automaton holds every run of ``SEED`` normalised words of every item; each
 text is scanned once by it. Texts are normalised without losing their offsets: markup,
 entities, quote marks, case, accents and punctuation don't matter. For an item with
-enough seeds in a text, the exact check follows: runs of equal words are chained in item
+a seed in a text, the exact check follows: runs of equal words are chained in item
 order, words changed, dropped or added cost an edit, and a stretch of foreign text may
 interrupt the item. A chain counts if it spans the item's ``min_words`` words (or the
 whole item, if shorter) with about one edit in eight words.
@@ -22,19 +22,17 @@ import html
 import re
 import unicodedata
 from bisect import bisect_left
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from marrow.operators.bounded import collect_bounded
-from marrow.session import spread
+from marrow.session import once, spread
 
 MAX_ITEMS = 200_000
 SEED = 3
-#: Words that seeds must cover before an item is checked exactly.
-LEAST_COVER = 7
 #: Cost of a changed, dropped or added word, and of an interruption, in matched words.
 EDIT, INTERRUPTION = 1.5, 2.0
 #: Share of a chain's span that must match word by word.
@@ -114,19 +112,15 @@ class LeakFinder:
         ends = [0]
         for w in words:
             ends.append(ends[-1] + len(w) + 1)  # where the space after word k stands
-        cover: dict[int, set[int]] = defaultdict(set)
         places: dict[int, list[int]] = defaultdict(list)
         for end, where in self.automaton.iter(line):
             last = bisect_left(ends, end)
             for item, p, n in where:
-                cover[item].update(range(p, p + n))
                 places[item].append(last - n)
         out: list[tuple[int, int, int, int, int]] = []
         used: dict[int, set[int]] = {}
-        for item, covered in cover.items():
+        for item in places:
             need = min(self.min_words, len(self.items[item]))
-            if len(covered) < min(LEAST_COVER, need):
-                continue
             hit = self._chain(item, words, places[item], need)
             if hit:
                 q0, q1, span, matched, used[item] = hit
@@ -161,14 +155,27 @@ class LeakFinder:
             open_runs, last_q = grown, q
         runs += open_runs.values()
         alone = 1 if need < 2 else 2
-        runs = sorted((p, q, n) for p, q, n in runs if n >= alone)
+        runs = sorted(((p, q, n) for p, q, n in runs if n >= alone), key=lambda r: (r[1], r[0]))
         # (score, matched, first p, first q, matched since the last interruption, words of the text used)
         best: list[tuple[float, int, int, int, int, int]] = []
         back: list[tuple[int, int]] = []  # the run before, and the words cut off this one
         found = None
-        for p, q, n in runs:
+        # Runs are taken in text order. Those that end near by are looked up by where they end in the text; of
+        # those further back only the best that ends at each word of the item matters, whatever stands between.
+        by_text_end: dict[int, list[int]] = defaultdict(list)
+        far: dict[int, int] = {}
+        waiting: deque[int] = deque()
+        for k, (p, q, n) in enumerate(runs):
+            while waiting and runs[waiting[0]][1] + runs[waiting[0]][2] + MOST_GAP < q:
+                j = waiting.popleft()
+                end = runs[j][0] + runs[j][2]
+                if best[j][4] >= LEAST_PART and (end not in far or best[far[end]][0] < best[j][0]):
+                    far[end] = j
             top, before = (float(n), n, p, q, n, n), (-1, 0)
-            for j, ((jp, jq, jn), b) in enumerate(zip(runs, best, strict=False)):
+            near_by = [j for at in range(q - MOST_GAP, q + n) for j in by_text_end.get(at, ())]
+            further = [far[at] for at in range(p - MOST_GAP, p + n) if at in far]
+            for j in near_by + further:
+                (jp, jq, jn), b = runs[j], best[j]
                 skip = max(jp + jn - p, jq + jn - q, 0)  # overlapping ends are cut off the later run
                 if skip >= n or p <= jp or q <= jq:
                     continue
@@ -185,6 +192,8 @@ class LeakFinder:
                     top, before = (score, b[1] + n - skip, b[2], b[3], since, used), (j, skip)
             best.append(top)
             back.append(before)
+            by_text_end[q + n].append(k)
+            waiting.append(k)
             span = p + n - top[2]
             if span >= need and top[1] >= LEAST_SHARE * max(span, top[5]) and top[4] >= min(LEAST_PART, need) and (found is None or top[1] > found[3]):
                 found = (top[3], q + n, span, top[1], len(back) - 1)
@@ -205,7 +214,7 @@ def find_leaks(df: DataFrame, items: DataFrame, key: str, text: str = "text", it
     shared = df.sparkSession.sparkContext.broadcast(listed)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        finder = LeakFinder(shared.value, min_words)
+        finder = once(shared, lambda listed: LeakFinder(listed, min_words))
         for batch in batches:
             rows = [(k, *hit) for k, t in zip(batch["key"], batch["text"], strict=True) for hit in finder.find(t)]
             yield pd.DataFrame(rows, columns=["key", "item_id", "start", "stop", "n_words", "n_matched"])
