@@ -34,13 +34,13 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from marrow.session import spread
+from marrow.session import once, spread
 
 #: Common forms of each code, lower case, without region.
 ALIASES = {
@@ -398,13 +398,13 @@ class Judge:
         """(language, words, confidence, passage) of consecutive words in one language."""
         return self.segments_of([text])[0]
 
-    def segments_of(self, texts: list[str]) -> list[list[tuple[str, int, float, str]]]:
-        """``segments`` of many texts, whose new words are scored together."""
+    def segments_of(self, texts: list[str], with_passage: bool = True) -> list[list[tuple[str, int, float, str]]]:
+        """``segments`` of many texts, whose new words are scored together; passages are empty unless asked for."""
         parsed = [prose(t) for t in texts]
         self.learn([w for paragraphs in parsed for p in paragraphs for w, _ in p])
-        return [[s for words in paragraphs for s in self._paragraph(words)] for paragraphs in parsed]
+        return [[s for words in paragraphs for s in self._paragraph(words, with_passage)] for paragraphs in parsed]
 
-    def _paragraph(self, words: list[tuple[str, bool]]) -> list[tuple[str, int, float, str]]:
+    def _paragraph(self, words: list[tuple[str, bool]], with_passage: bool) -> list[tuple[str, int, float, str]]:
         model = self.model
         if not model.languages:
             return []
@@ -428,7 +428,7 @@ class Judge:
                 else:
                     found.append((model.languages[k], a, b, float(odds[k] / odds.sum())))
                 a = b
-        return [(lang, b - a, sure, " ".join(w for w, _ in words[a:b])) for lang, a, b, sure in found]
+        return [(lang, b - a, sure, " ".join(w for w, _ in words[a:b]) if with_passage else "") for lang, a, b, sure in found]
 
     @classmethod
     def _path(cls, each: np.ndarray, ended: list[bool]) -> list[int]:
@@ -493,39 +493,45 @@ def fit_prototypes(df: DataFrame, key: str, text: str = "text", label: str = "la
 
 def identify(df: DataFrame, key: str, text: str = "text", label: str = "lang", prototypes: Prototypes | None = None) -> DataFrame:
     """(key, label, segment_no, lang, n_words, confidence, passage) of every segment of every text."""
+
+    def rows(model: Judge, k: object, code: str | None, segments: list[tuple[str, int, float, str]]) -> list[tuple]:
+        return [(k, code, no, *seg) for no, seg in enumerate(segments, 1)]
+
+    return _judged(df, key, text, label, prototypes, rows, "label string, segment_no int, lang string, n_words int, confidence double, passage string")
+
+
+def relabelled(df: DataFrame, key: str, text: str = "text", label: str = "lang", prototypes: Prototypes | None = None) -> DataFrame:
+    """(key, lang, confidence, n_words) of texts whose label is missing or wrong or which mix languages; ``OTHER`` is no language.
+
+    A text is judged where it lies; nothing is shuffled.
+    """
+
+    def rows(model: Judge, k: object, code: str | None, segments: list[tuple[str, int, float, str]]) -> list[tuple]:
+        counted = [s for s in segments if s[1] >= MIN_WORDS and s[0] != OTHER]
+        parts = [s for s in counted if s[2] >= MIN_CONFIDENCE] or sorted(counted, key=lambda s: -s[2])[:1]
+        langs = dict.fromkeys(s[0] for s in parts)
+        if not langs or len(langs) == 1 and code in langs:
+            return []
+        return [(k, lang, max(s[2] for s in parts if s[0] == lang), sum(s[1] for s in parts if s[0] == lang)) for lang in langs]
+
+    return _judged(df, key, text, label, prototypes, rows, "lang string, confidence double, n_words int")
+
+
+def _judged(df: DataFrame, key: str, text: str, label: str, prototypes: Prototypes | None, rows: Callable[..., list[tuple]], schema: str) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(prototypes or fit_prototypes(df, key, text, label))
     body = spread(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label"), F.col(f"`{text}`").alias("text"))).where("text is not null")
+    names = ["key", *(x.split()[0] for x in schema.split(", "))]
+    with_passage = "passage" in names
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Judge(shared.value)
+        model = once(shared, Judge)
         for batch in batches:
-            texts, rows = batch["text"].tolist(), []
+            texts, out = batch["text"].tolist(), []
             for at in range(0, len(texts), 500):
-                found = model.segments_of(texts[at : at + 500])
+                found = model.segments_of(texts[at : at + 500], with_passage)
                 for k, lab, segments in zip(batch["key"][at : at + 500], batch["label"][at : at + 500], found, strict=True):
-                    code = language_of_label(lab)
-                    rows += [(k, code, no, *seg) for no, seg in enumerate(segments, 1)]
-            yield pd.DataFrame(rows, columns=["key", "label", "segment_no", "lang", "n_words", "confidence", "passage"])
+                    out += rows(model, k, language_of_label(lab), segments)
+            yield pd.DataFrame(out, columns=names)
 
     kind = dict(body.dtypes)["key"]
-    return body.mapInPandas(judge, f"key {kind}, label string, segment_no int, lang string, n_words int, confidence double, passage string").withColumnRenamed("key", key)
-
-
-def relabelled(df: DataFrame, key: str, text: str = "text", label: str = "lang", prototypes: Prototypes | None = None) -> DataFrame:
-    """(key, lang, confidence, n_words) of texts whose label is missing or wrong or which mix languages; ``OTHER`` is no language."""
-    found = (
-        identify(df, key, text, label, prototypes)
-        .where((F.col("n_words") >= MIN_WORDS) & (F.col("lang") != OTHER))
-        .groupBy(key, "label")
-        .agg(F.collect_list(F.struct("confidence", "n_words", "lang")).alias("all"))
-        .withColumn("sure", F.filter("all", lambda p: p["confidence"] >= MIN_CONFIDENCE))
-        .withColumn("parts", F.when(F.size("sure") > 0, F.col("sure")).otherwise(F.array(F.array_max("all"))))
-        .withColumn("langs", F.array_distinct(F.transform("parts", lambda p: p["lang"])))
-        .where((F.size("langs") > 1) | F.col("label").isNull() | ~F.array_contains("langs", F.col("label")))
-    )
-    return found.select(key, F.explode("langs").alias("lang"), "parts").select(
-        key,
-        "lang",
-        F.aggregate("parts", F.lit(0.0), lambda a, p: F.when(p["lang"] == F.col("lang"), F.greatest(a, p["confidence"])).otherwise(a)).alias("confidence"),
-        F.aggregate("parts", F.lit(0), lambda a, p: F.when(p["lang"] == F.col("lang"), a + p["n_words"]).otherwise(a)).alias("n_words"),
-    )
+    return body.mapInPandas(judge, f"key {kind}, {schema}").withColumnRenamed("key", key)
