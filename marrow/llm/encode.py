@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from marrow.llm.vocab import BYTE_BPE_50K, PATTERN, byte_chars, read_ranks
-from marrow.session import spread
+from marrow.session import once, spread
 
 #: Pre-tokens kept per Python worker; the store is emptied when full, which only costs time.
 CACHE_ENTRIES = 300_000
@@ -98,7 +98,7 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str = BYTE
 
     @F.pandas_udf(T.ArrayType(T.IntegerType(), False))
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = PieceEncoder(model.value)
+        encoder = once(model, PieceEncoder)
         for batch in batches:
             found: list = []
             texts = [t if isinstance(t, str) else None for t in batch]

@@ -1,28 +1,12 @@
-"""Vocabulary files of public byte-level BPE tokenizers, read on the driver by path."""
+"""Byte-level form of the vocabularies: a printable character for each byte."""
 
 from __future__ import annotations
 
-import base64
-import os
 from functools import lru_cache
-from pathlib import Path
 
-#: Folder of the vocabulary files unless a caller names another one.
-TOKENIZER_DIR = os.environ.get("MARROW_TOKENIZERS", "/opt/tokenizers")
-BYTE_BPE_50K = f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken"
-#: Fixed value: the pre-tokenization rule these vocabularies were built with.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from marrow.functions.bpe import BYTE_BPE_50K, PATTERN, read_ranks
 
-
-@lru_cache(maxsize=4)
-def read_ranks(path: str) -> dict[bytes, int]:
-    """Token bytes to rank, one base64 token and its rank per line."""
-    out = {}
-    for line in Path(path).read_bytes().splitlines():
-        token, _, rank = line.partition(b" ")
-        if rank:
-            out[base64.b64decode(token)] = int(rank)
-    return out
+__all__ = ["BYTE_BPE_50K", "PATTERN", "byte_chars", "read_ranks"]
 
 
 @lru_cache(maxsize=1)
