@@ -294,13 +294,50 @@ def test_scanned_pages(spark):
     assert noise_of(spark, []) == set() and noise_of(spark, [CLEAN], ()) == set()
 
 
+def test_headings_of_no_known_name(spark):
+    page = lambda k: f"Riverbank Cancer Centre, sheet {k}\nFirst line {'abc'[k] * 9}\nFINAL DIAGNOSIS:\nLast line {'def'[k] * 9}\n- {k + 1} -"
+    text = "\n".join(map(page, range(3)))
+    own = "\n".join(f"{CLEAN}- {k} -" for k in (1, 2)) + "\nRiverbank Cancer Centre"
+    noise = noise_of(spark, [text, own], ())
+    assert {(n, k) for i, n, k in noise if i == 0} >= {(1, "running_header"), (6, "running_header"), (11, "running_header"), (5, "page_number")}
+    assert not any(k == "running_header" for i, _, k in noise if i == 1)
+
+
+def test_no_floor_under_corpus_counts(spark):
+    """A word seen twice is known as well as any; a rare real word that misreadings don't explain stays."""
+    rare = "Signs of zygomatic spread were not seen. "
+    real = "A moId was used. "  # 60 times: too often for misreadings of a word seen 2,000 times, as estimated
+    texts = [CLEAN] * 40 + [rare, rare, rare + "zygo-\nmatic spread"] + ["The mold was used. " * 40] * 50 + [real] * 60 + ["The little tall wall fell well until all still fell. " * 40] * 150
+    noise = noise_of(spark, texts)
+    assert noise == {(42, 1, "broken_word")}
+
+
+def test_probabilities_are_estimated_and_bounded(spark):
+    line = "The tumour shows infiltrating glands and cords within a fibrous background. " * 5 + "\n"
+    seen = line.replace("glands", "g1ands", 1)
+    corpus_of = ocr.Corpus(corpus(spark, [line] * 300 + [seen] * 9))
+    assert corpus_of.chances["1>l"] == pytest.approx((9 + 1) / (sum((line * 300 + seen * 9).count(c) for c in "l") + 1000), rel=0.01)
+    assert corpus_of.chances["cl>d"] < corpus_of.chances["1>l"] and len(corpus_of.chances) == sum(map(len, ocr.CONFUSIONS.values()))
+    found = {r.w: r for r in corpus_of.doubtful.collect()}
+    assert [o.v for o in found["g1ands"].options] == ["glands"] and found["g1ands"].share == 0.0 and "glands" not in found
+    scan = ocr.Scan([], corpus_of.filter())
+    assert scan.may_be_doubtful("g1ands") and not scan.may_be_doubtful("glands") and scan.may_be_doubtful("1O2")
+
+
+def test_variants_both_ways_and_two_steps(spark):
+    assert ocr.once_confused("ab1e", ocr.FORWARD)["able"] == "1>l" and "ab1e" in ocr.once_confused("able", ocr.BACKWARD)
+    words = "The tumour shows infiltrating glands. " * 30
+    found = {r.w: r.options for r in ocr.Corpus(corpus(spark, [words] * 4 + ["The tumour shows lnfiltratlng glands."])).doubtful.collect()}
+    assert [o.v for o in found["lnfiltratlng"]] == ["infiltrating"]
+
+
 def test_viterbi_equals_exhaustive_search():
     from itertools import product
 
-    words = {"left": 900, "lift": 300, "the": 2000, "lung": 800, "long": 200, "of": 1500}
+    words = {"left": 900, "lift": 300, "the": 2000, "lung": 800, "long": 200, "of": 1500, "1eft": 3}
     pairs = {("the", "left"): 500, ("left", "lung"): 400, ("the", "lift"): 10, ("lift", "long"): 50}
-    channel = ocr.Channel(words, pairs, 6000)
-    channel.memo |= {"1eft": [("left", ocr.MISREAD), ("lift", ocr.MISREAD)], "lnng": [("lung", ocr.MISREAD), ("long", ocr.MISREAD)], "the": [], "of": []}
+    options = {"1eft": [("left", -4.0), ("lift", -5.0)], "lnng": [("lung", -5.0), ("long", -4.5)]}
+    channel = ocr.Channel(words, options, {"1eft": 0.1}, pairs, 6000)
 
     def score(seq, seen):
         s = 0.0
@@ -309,8 +346,10 @@ def test_viterbi_equals_exhaustive_search():
         return s
 
     for seen in (["the", "1eft", "lnng", "of"], ["1eft", "lnng"], ["of", "lnng", "1eft"]):
-        options = [[w, *(c for c, _ in channel.candidates(w))] for w in seen]
-        assert channel.decode(seen) == list(max(product(*options), key=lambda s: score(s, seen)))
+        every = [[w, *(c for c, _ in channel.candidates(w))] for w in seen]
+        assert channel.decode(seen) == list(max(product(*every), key=lambda s: score(s, seen)))
+        asked = channel.wanted_pairs(seen)
+        assert asked == {(a, b) for x, y in zip(every, every[1:], strict=False) for a in x for b in y if len(x) > 1 or len(y) > 1}
 
 
 def test_pattern_is_the_vocabularies_own():
