@@ -63,12 +63,13 @@ def quality_metrics(results: DataFrame) -> dict[str, float]:
 
 def gold_metrics(preds: DataFrame, golds: DataFrame, with_similarity: bool, order: str = "created_at") -> dict[str, float]:
     """Figures of output against gold; fields with a dot are named with an underscore."""
-    fields = scoring.field_metrics(preds, golds, order).cache()
+    few = scoring.last_by(scoring.slim(preds, order), "report_id", order)
+    pairs = scoring.count_pairs(scoring.field_pairs(few, scoring.last_gold(golds, None)))
+    fields = scoring.score_fields(pairs).cache()
     out = {f"f1_{column_of(r['field'])}": round(r["f1"], 4) for r in fields.collect()}
     rolled = scoring.roll_up(fields).collect()[0]
     out |= {"weighted_f1": round(rolled["weighted_f1"], 4), "mean_f1": round(rolled["mean_f1"], 4)}
     if with_similarity:
-        pairs = scoring.field_pairs(scoring.last_by(scoring.slim(preds, order), "report_id", order), scoring.last_gold(golds, None))
         sims = semantic.semantic_metrics(semantic.score_pairs(pairs, semantic.NgramEmbedder())).cache()
         rows = sims.collect()
         for r in rows:

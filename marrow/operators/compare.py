@@ -43,13 +43,21 @@ def comparison_matrix(
     each = gold.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models]) if models else F.expr("cast(array() as array<string>)")))
     few = scoring.slim(preds.where("model is not null"), "model", order)
     pred = few.groupBy("model", "report_id").agg(F.max_by(F.struct(*[c for c in few.columns if c not in ("model", "report_id")]), order).alias("r")).select("model", "report_id", "r.*")
-    pairs = scoring.field_pairs(pred, each, ["model"], ["model", "report_id"])
+    pairs = scoring.count_pairs(scoring.field_pairs(pred, each, ["model"], ["model", "report_id"]), ["model"])
     fields = scoring.score_fields(pairs, ["model"])
     sims = semantic.semantic_metrics(semantic.score_pairs(pairs, embedder), ["model"])
     means = sims.groupBy("model").agg(F.avg("mean_similarity").alias("mean_similarity"), F.avg("mean_similarity_complete").alias("mean_similarity_complete"))
-    usage = record_cost(prices, preds).groupBy("model").agg(F.avg("cost").alias("avg_cost"), F.avg("latency_ms").alias("avg_latency_ms"))
-    flags = scoring.quality_rates(preds, ["model"]).select("model", "hallucination_rate")
-    out = semantic.combined_score(fields, sims, ["model"]).join(scoring.roll_up(fields, ["model"]).select("model", "weighted_f1"), "model").join(means, "model").join(flags, "model").join(usage, "model")
+    ok = scoring.passed(F.col("validation_status"))
+    usage = (
+        record_cost(prices, preds.select("model", "input_tokens", "output_tokens", "latency_ms", "validation_status", "hallucination_flags"))
+        .groupBy("model")
+        .agg(
+            F.avg("cost").alias("avg_cost"),
+            F.avg("latency_ms").alias("avg_latency_ms"),
+            scoring.ratio(F.count_if(ok & (scoring.flag_count(F.col("hallucination_flags")) > 0)), F.count_if(ok)).alias("hallucination_rate"),
+        )
+    )
+    out = semantic.combined_score(fields, sims, ["model"]).join(scoring.roll_up(fields, ["model"]).select("model", "weighted_f1"), "model").join(means, "model").join(usage, "model")
     if traits is not None:
         out = out.join(traits.select("model", "trait"), "model", "left")
     rounded = {c: F.round(c, 4) for c in ("combined_score", "weighted_f1", "mean_similarity", "mean_similarity_complete", "hallucination_rate")}

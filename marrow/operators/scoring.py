@@ -15,10 +15,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marrow.functions.text import normalize_by
 from marrow.plans.fields import FIELDS, PASSED, WEIGHTS, column_of
+from marrow.session import cut
 
 
 def last_by(df: DataFrame, key: str, order: str | Column) -> DataFrame:
-    """The last row of each key; partial aggregation, no sort."""
+    """The last row of each key: one partial and one final aggregation.
+
+    Spark keeps whole rows in such aggregates sorted by key (no window over a hot key, but a
+    sort on either side of the shuffle), so callers pass only the columns they need.
+    """
     order = F.col(order) if isinstance(order, str) else order
     return df.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), order).alias("_row")).select("_row.*")
 
@@ -78,16 +83,27 @@ def field_pairs(preds: DataFrame, golds: DataFrame, by: list[str] | None = None,
     return long.withColumns({"pred": normalize_by(F.col("pred"), F.col("field")), "gold": normalize_by(F.col("gold"), F.col("field"))})
 
 
+def count_pairs(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(by..., field, pred, gold, n): how often each pair of values occurs.
+
+    All scores are sums over this table, which has a row per distinct pair, not per report; it
+    is kept once for everything that is computed from it.
+    """
+    return cut(pairs.groupBy(*(by or []), "field", "pred", "gold").agg(F.count(F.lit(1)).alias("n")))
+
+
 def score_fields(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Counts and rates of each field (and stratum); a wrong value is a miss and a false find."""
+    """Counts and rates of each field (and stratum) over pairs, counted ones or single ones; a wrong value is a miss and a false find."""
     p, g = F.col("pred"), F.col("gold")
+    n_of = F.col("n") if "n" in pairs.columns else F.lit(1)
+    count = lambda which: F.sum(F.when(which, n_of).otherwise(0)).cast("bigint")
     counted = pairs.groupBy(*(by or []), "field").agg(
-        F.count_if(p.isNotNull() & g.isNotNull() & (p == g)).alias("tp"),
-        F.count_if(p.isNotNull() & (g.isNull() | (p != g))).alias("fp"),
-        F.count_if(g.isNotNull() & (p.isNull() | (p != g))).alias("fn"),
-        F.count_if(p.isNull() & g.isNull()).alias("tn"),
-        F.count_if(p.isNull() == g.isNull()).alias("same_nullness"),
-        F.count(F.lit(1)).alias("n_gold"),
+        count(p.isNotNull() & g.isNotNull() & (p == g)).alias("tp"),
+        count(p.isNotNull() & (g.isNull() | (p != g))).alias("fp"),
+        count(g.isNotNull() & (p.isNull() | (p != g))).alias("fn"),
+        count(p.isNull() & g.isNull()).alias("tn"),
+        count(p.isNull() == g.isNull()).alias("same_nullness"),
+        F.sum(n_of).cast("bigint").alias("n_gold"),
     )
     tp, fp, fn, tn, n = (F.col(c) for c in ("tp", "fp", "fn", "tn", "n_gold"))
     return (

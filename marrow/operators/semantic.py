@@ -6,7 +6,7 @@ distinct strings are embedded, so a costly embedder sees each string once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
@@ -54,6 +54,43 @@ class NgramEmbedder:
         return strings.select("value", embed("value").alias("vector"))
 
 
+_MODELS: dict[str, Callable[[list[str]], np.ndarray]] = {}
+
+
+def onnx_model(path: str) -> Callable[[list[str]], np.ndarray]:
+    """Embeds texts by an ONNX model that takes strings and gives one vector each (tokenizer inside the graph)."""
+    import onnxruntime
+
+    session = onnxruntime.InferenceSession(path, providers=["CPUExecutionProvider"])
+    feed = session.get_inputs()[0].name
+    return lambda texts: session.run(None, {feed: np.array(texts, dtype=object)})[0]
+
+
+class ModelEmbedder:
+    """Vectors of a trained model that lies at ``path``, which every worker can read.
+
+    ``load`` makes the model from the path, once per Python worker; ``batch`` strings are
+    embedded at a time.
+    """
+
+    def __init__(self, path: str, load: Callable[[str], Callable[[list[str]], np.ndarray]] = onnx_model, batch: int = 64):
+        self.path, self.load, self.batch = path, load, batch
+
+    def table(self, strings: DataFrame) -> DataFrame:
+        path, load, size = self.path, self.load, self.batch
+
+        @F.pandas_udf(T.ArrayType(T.FloatType()))
+        def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            model = _MODELS.get(path) or _MODELS.setdefault(path, load(path))
+            for batch in batches:
+                texts, out = batch.tolist(), []
+                for at in range(0, len(texts), size):
+                    out += [np.asarray(v, np.float32) for v in model(texts[at : at + size])]
+                yield pd.Series(out, dtype=object)
+
+        return strings.select("value", embed("value").alias("vector"))
+
+
 class LookupEmbedder:
     """Vectors from a table, by a key expression over the string."""
 
@@ -105,14 +142,16 @@ def semantic_metrics(scored: DataFrame, by: list[str] | None = None) -> DataFram
     In the complete mean a value missing on both sides is 1, on one side 0.
     """
     p, g, s = F.col("pred"), F.col("gold"), F.col("similarity")
+    n = F.col("n") if "n" in scored.columns else F.lit(1)
     whole = F.when(p.isNull() & g.isNull(), 1.0).when(p.isNull() | g.isNull(), 0.0).otherwise(s)
+    count = lambda which: F.sum(F.when(which, n).otherwise(0)).cast("bigint")
     return scored.groupBy(*(by or []), "field").agg(
-        F.coalesce(F.avg(s), F.lit(0.0)).alias("mean_similarity"),
-        F.coalesce(F.avg(whole), F.lit(0.0)).alias("mean_similarity_complete"),
-        F.count(s).alias("n_scored_pairs"),
-        F.count_if(p.isNull() & g.isNull()).alias("n_both_null"),
-        F.count_if(p.isNull() & g.isNotNull()).alias("n_omission"),
-        F.count_if(p.isNotNull() & g.isNull()).alias("n_hallucination"),
+        ratio(F.sum(s * n), count(s.isNotNull())).alias("mean_similarity"),
+        ratio(F.sum(whole * n), count(whole.isNotNull())).alias("mean_similarity_complete"),
+        count(s.isNotNull()).alias("n_scored_pairs"),
+        count(p.isNull() & g.isNull()).alias("n_both_null"),
+        count(p.isNull() & g.isNotNull()).alias("n_omission"),
+        count(p.isNotNull() & g.isNull()).alias("n_hallucination"),
     )
 
 

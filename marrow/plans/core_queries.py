@@ -106,15 +106,15 @@ def semantic_rules(spark: SparkSession, d: str) -> DataFrame:
 
 
 def semantic_metrics(spark: SparkSession, d: str) -> DataFrame:
-    return semantic.semantic_metrics(semantic.score_pairs(_pairs(spark, d), _embedder(spark, d))).withColumns(_six("mean_similarity", "mean_similarity_complete"))
+    return semantic.semantic_metrics(semantic.score_pairs(scoring.count_pairs(_pairs(spark, d)), _embedder(spark, d))).withColumns(_six("mean_similarity", "mean_similarity_complete"))
 
 
 def semantic_metrics_ngram(spark: SparkSession, d: str) -> DataFrame:
-    return semantic.semantic_metrics(semantic.score_pairs(_pairs(spark, d), semantic.NgramEmbedder())).withColumns(_six("mean_similarity", "mean_similarity_complete"))
+    return semantic.semantic_metrics(semantic.score_pairs(scoring.count_pairs(_pairs(spark, d)), semantic.NgramEmbedder())).withColumns(_six("mean_similarity", "mean_similarity_complete"))
 
 
 def combined_score(spark: SparkSession, d: str) -> DataFrame:
-    pairs = _pairs(spark, d)
+    pairs = scoring.count_pairs(_pairs(spark, d))
     sims = semantic.semantic_metrics(semantic.score_pairs(pairs, _embedder(spark, d)))
     return semantic.combined_score(scoring.score_fields(pairs), sims).withColumn("mean_similarity", semantic.mean_of_scored(sims).scalar()).withColumns(_six("combined_score", "mean_similarity"))
 

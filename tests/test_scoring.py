@@ -133,3 +133,24 @@ def test_style_lookup_and_attach(spark):
 def test_counters(spark):
     r = extract.run_counters(pred(spark, {"report_id": "a"}, {"report_id": "b", "validation_status": "json_failed", "truncated": True})).collect()[0]
     assert (r.total, r.valid, r.json_failed, r.truncated, r.total_input_tokens, r.avg_latency_ms, r.pass_rate) == (2, 1, 1, 1, 20, 2.0, 0.5)
+
+
+def double_of(path):
+    """A model made from a file: vectors of the letters it lists."""
+    letters = open(path).read().strip()
+    return lambda texts: [[float(t.count(c)) for c in letters] for t in texts]
+
+
+def test_model_is_loaded_by_path(spark, tmp_path):
+    (tmp_path / "model").write_text("abc\n")
+    strings = spark.createDataFrame([("aab",), ("cc",), ("",)], "value string")
+    got = {r.value: r.vector for r in semantic.ModelEmbedder(str(tmp_path / "model"), double_of, batch=2).table(strings).collect()}
+    assert got == {"aab": [2.0, 1.0, 0.0], "cc": [0.0, 0.0, 2.0], "": [0.0, 0.0, 0.0]}
+
+
+def test_scores_from_counted_pairs_equal_those_of_single_pairs(spark):
+    rows = [("tumor_grade", "g1", "g1")] * 5 + [("tumor_grade", "g1", "g2")] * 3 + [("tumor_grade", None, "g2")] * 2 + [("primary_site", None, None), ("primary_site", "x", None), ("primary_site", "a b", "a c")]
+    pairs = spark.createDataFrame(rows, "field string, pred string, gold string")
+    both = [(df, semantic.semantic_metrics(semantic.score_pairs(df, semantic.NgramEmbedder()))) for df in (pairs, scoring.count_pairs(pairs))]
+    plain, counted = ([scoring.score_fields(df).orderBy("field").collect(), sims.orderBy("field").collect()] for df, sims in both)
+    assert plain[0] == counted[0] and [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in plain[1]] == [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in counted[1]]
