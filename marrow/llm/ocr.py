@@ -53,8 +53,8 @@ RARE, LONG_ENOUGH = 3, 5
 LONGEST_WORD = 60
 #: Characters of a heading's line and besides what makes it one: with the report's id, and with a name.
 OWN_LINE, OWN_SPARE, NAME_LINE, NAME_SPARE = 200, 60, 120, 45
-#: Pages on which a line of no known name must stand to be a heading.
-LEAST_PAGES = 3
+#: Pages on which a line of no known name must stand to be a heading, and their share of all.
+LEAST_PAGES, MOST_PAGES = 3, 0.75
 #: Lines after a break within which its word may go on; what stands between is page matter.
 REACH = 8
 #: Bits of the filter of doubtful words, two for each word.
@@ -204,7 +204,7 @@ class Pages:
                     beside[letters].append(i)
                 else:
                     elsewhere.add(letters)
-        return [i for letters, found in beside.items() if len(letters) >= 8 and letters not in elsewhere and len(found) >= max(LEAST_PAGES, pages / 2) for i in found]
+        return [i for letters, found in beside.items() if len(letters) >= 8 and letters not in elsewhere and len(found) >= max(LEAST_PAGES, MOST_PAGES * pages) for i in found]
 
 
 def once_confused(word: str, table: list[tuple[str, tuple[str, ...]]]) -> dict[str, str]:
