@@ -32,6 +32,7 @@ repeated rows are reported each for itself; whole texts are read.
 from __future__ import annotations
 
 import html
+import math
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -159,18 +160,31 @@ def signature_lines(lines: list[str]) -> set[int]:
     return out
 
 
-def prose(text: str) -> list[list[tuple[str, bool]]]:
-    """Words of the natural-language lines: (word, ends a sentence), paragraph by paragraph."""
+class _Ends(dict[str, bool]):
+    """Whether what stands between two words ends a sentence; remembered, as most gaps recur."""
+
+    def __missing__(self, gap: str) -> bool:
+        if len(self) > 50_000:
+            self.clear()
+        found = self[gap] = _END.search(gap) is not None
+        return found
+
+
+_ends = _Ends()
+
+
+def prose(text: str) -> list[tuple[list[str], list[bool]]]:
+    """Words of the natural-language lines, and whether each ends a sentence, paragraph by paragraph."""
     if "&" in text:
         text = html.unescape(text)
     text = text.replace("\xa0", " ").replace("\r\n", "\n").replace("\r", "\n")
-    paragraphs: list[list[tuple[str, bool]]] = [[]]
+    paragraphs: list[tuple[list[str], list[bool]]] = [([], [])]
     lines = text.split("\n")
     signed = signature_lines(lines) if "--" in text or "__" in text or "==" in text or "**" in text or "~~" in text or "—" in text else ()
     depth = None
     for no, line in enumerate(lines):
         if no in signed:
-            paragraphs.append([])
+            paragraphs.append(([], []))
             continue
         plain = line
         if "<" in line or "[" in line:
@@ -179,28 +193,30 @@ def prose(text: str) -> list[list[tuple[str, bool]]]:
             plain = _LINK.sub(" ", plain)
         body = plain.strip(" >|\t*_~​")
         if not body or (line.endswith(":") or line.rstrip().endswith(":")) and _HEADER.match(plain):
-            paragraphs.append([])
+            paragraphs.append(([], []))
             continue
         if _CODE.search(body):
             signs = len(_CODE.findall(_AT.sub("a", body).replace("**", "").replace("_", "").replace("*", "")))
             if signs >= 2 and signs > 0.04 * len(body):
                 plain = without_code(plain)
                 if not plain:
-                    paragraphs.append([])
+                    paragraphs.append(([], []))
                     continue
         level = _level(line)
         if level != depth and depth is not None:
-            paragraphs.append([])
+            paragraphs.append(([], []))
         depth = level
         if "@" in plain:
-            words = list(_AT_WORD.finditer(plain))
-            pairs = [(m.group(), plain[m.end() : words[k + 1].start() if k + 1 < len(words) else len(plain)]) for k, m in enumerate(words)]
+            found = list(_AT_WORD.finditer(plain))
+            pairs = [(m.group(), plain[m.end() : found[k + 1].start() if k + 1 < len(found) else len(plain)]) for k, m in enumerate(found)]
         else:
             pairs = _WORD_GAP.findall(plain)
         if pairs:
-            paragraphs[-1] += [(w, gap != " " and _END.search(gap) is not None) for w, gap in pairs[:-1]]
-            paragraphs[-1].append((pairs[-1][0], _END.search(pairs[-1][1].strip()) is not None))
-    return [p for p in paragraphs if p]
+            words, ended = paragraphs[-1]
+            words += [w for w, _ in pairs]
+            ended += [_ends[gap] for _, gap in pairs[:-1]]
+            ended.append(_ends[pairs[-1][1].strip()])
+    return [p for p in paragraphs if p[0]]
 
 
 def fold(word: str) -> str:
@@ -348,6 +364,7 @@ class Judge:
         n = len(self.model.languages)
         self.rows: dict[str, int] = {}
         self.codes, self.scores = self.model.codes, self.model.scores
+        self.ids = np.arange(len(self.codes), dtype=np.int32)  # of each code, by arrival
         self.table = np.zeros((1024, n), np.float32)
         self.grams: list[np.ndarray] = []
 
@@ -366,21 +383,23 @@ class Judge:
         if len(self.codes):
             fresh = self.codes[np.minimum(at, len(self.codes) - 1)] != distinct
         scores = np.empty((len(distinct), len(self.model.languages)), np.float32)
+        ids = np.empty(len(distinct), np.int32)
         if not fresh.all():
-            scores[~fresh] = self.scores[at[~fresh]]
+            scores[~fresh], ids[~fresh] = self.scores[at[~fresh]], self.ids[at[~fresh]]
         todo = np.flatnonzero(fresh)
         for k in range(0, len(todo), CHUNK):
             scores[todo[k : k + CHUNK]] = self.space.vectors(distinct[todo[k : k + CHUNK]]).astype(np.float32) @ self.model.vectors.T
         if len(todo):
+            ids[todo] = np.arange(len(self.codes), len(self.codes) + len(todo))
             order = np.argsort(codes := np.concatenate([self.codes, distinct[todo]]), kind="stable")
-            self.codes, self.scores = codes[order], np.concatenate([self.scores, scores[todo]])[order]
+            self.codes, self.scores, self.ids = codes[order], np.concatenate([self.scores, scores[todo]])[order], np.concatenate([self.ids, ids[todo]])[order]
         first = len(self.grams)
         while len(self.table) < first + len(new):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         for k in range(len(self.model.languages)):
             self.table[first : first + len(new), k] = np.bincount(owner, scores[gram, k], len(new))
         by_word = np.argsort(owner, kind="stable")
-        self.grams += np.split(code[by_word], np.cumsum(np.bincount(owner, minlength=len(new)))[:-1])
+        self.grams += np.split(ids[gram[by_word]], np.cumsum(np.bincount(owner, minlength=len(new)))[:-1])
         self.rows |= {w: first + i for i, w in enumerate(new)}
 
     def row(self, word: str) -> int:
@@ -390,9 +409,14 @@ class Judge:
 
     def cosine(self, rows: list[int]) -> np.ndarray:
         """Cosine of the bundle of a passage's words with each prototype."""
-        dot = self.table[rows].sum(0)
-        _, n = np.unique(np.concatenate([self.grams[r] for r in rows]), return_counts=True)
-        return dot / np.sqrt(DIMENSIONS * float((n * n).sum()) + 1e-9)
+        return self._cosine(self.table[rows].sum(0), rows)
+
+    def _cosine(self, dot: np.ndarray, rows: list[int]) -> np.ndarray:
+        grams = np.concatenate([self.grams[r] for r in rows])
+        grams.sort()
+        edges = np.flatnonzero(grams[1:] != grams[:-1])
+        n = np.diff(edges, prepend=-1, append=len(grams) - 1)
+        return dot / math.sqrt(DIMENSIONS * float(n @ n) + 1e-9)
 
     def segments(self, text: str) -> list[tuple[str, int, float, str]]:
         """(language, words, confidence, passage) of consecutive words in one language."""
@@ -401,34 +425,36 @@ class Judge:
     def segments_of(self, texts: list[str], with_passage: bool = True) -> list[list[tuple[str, int, float, str]]]:
         """``segments`` of many texts, whose new words are scored together; passages are empty unless asked for."""
         parsed = [prose(t) for t in texts]
-        self.learn([w for paragraphs in parsed for p in paragraphs for w, _ in p])
-        return [[s for words in paragraphs for s in self._paragraph(words, with_passage)] for paragraphs in parsed]
+        self.learn([w for paragraphs in parsed for words, _ in paragraphs for w in words])
+        return [[s for words, ended in paragraphs for s in self._paragraph(words, ended, with_passage)] for paragraphs in parsed]
 
-    def _paragraph(self, words: list[tuple[str, bool]], with_passage: bool) -> list[tuple[str, int, float, str]]:
+    def _paragraph(self, words: list[str], ended: list[bool], with_passage: bool) -> list[tuple[str, int, float, str]]:
         model = self.model
         if not model.languages:
             return []
-        rows = [self.rows[w] for w, _ in words]
-        each = self.table[rows] / model.margin
-        path = self._path(each, [ended for _, ended in words])
+        rows = list(map(self.rows.__getitem__, words))
+        each = self.table[rows]
+        path = self._path(each / model.margin, ended)
         found: list[tuple[str, int, int, float]] = []
         a = 0
-        for b in range(1, len(path) + 1):
-            if b == len(path) or path[b] != path[a]:
-                cos = self.cosine(rows[a:b])
-                k = path[a]
-                odds = np.exp((cos - cos.max()) / model.temperature)
-                floor = model.floors[sum(b - a >= x for x in FLOOR_FROM) - 1]
-                if cos[k] < floor:
-                    sure = 1 - float(cos[k] / floor) if floor > 0 else 0.0
-                    if found and found[-1][0] == OTHER:
-                        found[-1] = (OTHER, found[-1][1], b, max(found[-1][3], min(sure, 1.0)))
-                    else:
-                        found.append((OTHER, a, b, min(sure, 1.0)))
+        while a < len(path):
+            k = path[a]
+            b = a + 1
+            while b < len(path) and path[b] == k:
+                b += 1
+            cos = self._cosine(each[a:b].sum(0), rows[a:b])
+            odds = np.exp((cos - cos.max()) / model.temperature)
+            floor = model.floors[sum(b - a >= x for x in FLOOR_FROM) - 1]
+            if cos[k] < floor:
+                sure = 1 - float(cos[k] / floor) if floor > 0 else 0.0
+                if found and found[-1][0] == OTHER:
+                    found[-1] = (OTHER, found[-1][1], b, max(found[-1][3], min(sure, 1.0)))
                 else:
-                    found.append((model.languages[k], a, b, float(odds[k] / odds.sum())))
-                a = b
-        return [(lang, b - a, sure, " ".join(w for w, _ in words[a:b]) if with_passage else "") for lang, a, b, sure in found]
+                    found.append((OTHER, a, b, min(sure, 1.0)))
+            else:
+                found.append((model.languages[k], a, b, float(odds[k] / odds.sum())))
+            a = b
+        return [(lang, b - a, sure, " ".join(words[a:b]) if with_passage else "") for lang, a, b, sure in found]
 
     @classmethod
     def _path(cls, each: np.ndarray, ended: list[bool]) -> list[int]:
@@ -475,11 +501,11 @@ def fit_prototypes(df: DataFrame, key: str, text: str = "text", label: str = "la
     passages: list[tuple[list[str], str]] = []
     for r in sorted(sample, key=lambda r: r["k"]):
         code = language_of_label(r["l"])
-        for words in prose(r["t"]) if code else ():
+        for words, ended in prose(r["t"]) if code else ():
             part: list[str] = []
-            for w, ended in words:
+            for w, end in zip(words, ended, strict=True):
                 part.append(fold(w))
-                if ended or len(part) >= 25:
+                if end or len(part) >= 25:
                     if len(part) >= 4:
                         passages.append((part, code))
                     part = []

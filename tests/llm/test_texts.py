@@ -198,7 +198,7 @@ def test_labels_and_segments(spark, prototypes):
 
 
 def words_of(text):
-    return [[w for w, _ in p] for p in langid.prose(text)]
+    return [words for words, _ in langid.prose(text)]
 
 
 def test_only_signatures_are_left_out_below_rules():
