@@ -55,7 +55,7 @@ LONGEST_WORD = 60
 OWN_LINE, OWN_SPARE, NAME_LINE, NAME_SPARE = 200, 60, 120, 45
 #: Pages on which a line of no known name must stand to be a heading, and their share of all.
 LEAST_PAGES, MOST_PAGES = 3, 0.75
-#: Lines after a break within which its word may go on; what stands between is page matter.
+#: Lines after a break within which its word may go on, up to the first that begins in lower case; what stands between is page matter.
 REACH = 8
 #: Bits of the filter of doubtful words, two for each word.
 FILTER_BITS = 1 << 26
@@ -285,6 +285,8 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
                             for following in lines[i + 1 : i + 1 + REACH]:
                                 if parts := _parts(line, following):
                                     joined.update((parts[0] + parts[1], parts[0] + "-" + parts[1]))
+                                if following.lstrip()[:1].islower():
+                                    break
                 if size > FLUSH or len(joined) > FLUSH:
                     yield flush()
                     size = 0
@@ -299,12 +301,37 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
 _ENDS = re.compile(rf"[{_BREAK}][^\S\n]*\n")
 
 
-def _variants(words: DataFrame, table: list[tuple[str, tuple[str, ...]]]) -> DataFrame:
-    """(w, n, v, c): every word one confusion away from each word."""
+def filter_bits(df: DataFrame, column: str) -> np.ndarray:
+    """Bloom filter of a column's strings: at most ``FILTER_BITS`` / 64 rows reach the driver, whatever the size of ``df``."""
+    h = F.xxhash64(column)
+    at = F.explode(F.array(h.bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(FILTER_BITS - 1))))
+    bits = df.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+class Filter:
+    """Test of ``filter_bits`` in a worker."""
+
+    def __init__(self, bits: np.ndarray):
+        import xxhash
+
+        self.bits, self.hash = bits.view(np.uint8), xxhash.xxh64_intdigest
+
+    def __contains__(self, word: str) -> bool:
+        h = self.hash(word.encode("utf-8", "surrogatepass"), 42)
+        a, b = h & FILTER_BITS - 1, h >> 32 & FILTER_BITS - 1
+        return bool(self.bits[a >> 3] >> (a & 7) & 1 and self.bits[b >> 3] >> (b & 7) & 1)
+
+
+def _variants(words: DataFrame, table: list[tuple[str, tuple[str, ...]]], wanted: object = None) -> DataFrame:
+    """(w, n, v, c): every word one confusion away from each word, as far as the filter ``wanted`` lets it through."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = once(wanted, Filter) if wanted is not None else None
         for batch in batches:
-            rows = [(w, n, v, c) for w, n in zip(batch["w"], batch["n"], strict=True) for v, c in once_confused(w, table).items()]
+            rows = [(w, n, v, c) for w, n in zip(batch["w"], batch["n"], strict=True) for v, c in once_confused(w, table).items() if known is None or v in known]
             yield pd.DataFrame(rows, columns=["w", "n", "v", "c"])
 
     return words.select("w", "n").mapInPandas(each, "w string, n long, v string, c string")
@@ -323,11 +350,14 @@ class Corpus:
         usable = self.words.where((F.char_length("w") <= LONGEST_WORD) & letters & ~number & ((F.char_length("w") >= 3) | (F.col("n") == 0)))
         true = self.words.where(F.col("w").rlike(r"(?U)[^\W\d_]{2}")).select(F.col("w").alias("v"), F.col("n").alias("n_v"))
         enough = lambda times: F.col("n_v") >= F.greatest(F.col("n").cast("double"), F.lit(0.1)) * SUSPECT * times
-        near = cut(_variants(usable, FORWARD).where("v != w").join(true, "v").where(enough(1)).select("w", "n", "v", "n_v", F.array("c").alias("c")))
+        sc = df.sparkSession.sparkContext
+        frequent = sc.broadcast(filter_bits(true.where(F.col("n_v") >= 0.1 * SUSPECT), "v"))
+        near = cut(_variants(usable, FORWARD, frequent).where("v != w").join(true, "v").where(enough(1)).select("w", "n", "v", "n_v", F.array("c").alias("c")))
         # two confusions away: one step from the rare word and one back from the frequent one meet in between
         rare = usable.where((F.col("n") < RARE) & (F.char_length("w") >= LONG_ENOUGH)).join(near.select("w").distinct(), "w", "left_anti")
         back = _variants(true.where(F.col("n_v") >= 0.1 * SUSPECT * 3).select(F.col("v").alias("w"), F.col("n_v").alias("n")), BACKWARD).select(F.col("w").alias("v"), F.col("n").alias("n_v"), F.col("v").alias("u"), F.concat(F.substring_index("c", ">", -1), F.lit(">"), F.substring_index("c", ">", 1)).alias("c2"))
-        far = _variants(rare, FORWARD).select("w", "n", F.col("v").alias("u"), "c").join(back, "u").where(enough(3) & (F.col("v") != F.col("w"))).groupBy("w", "v").agg(F.first("n").alias("n"), F.first("n_v").alias("n_v"), F.min(F.array("c", "c2")).alias("c"))
+        met = sc.broadcast(filter_bits(back := cut(back), "u"))
+        far = _variants(rare, FORWARD, met).select("w", "n", F.col("v").alias("u"), "c").join(back, "u").where(enough(3) & (F.col("v") != F.col("w"))).groupBy("w", "v").agg(F.first("n").alias("n"), F.first("n_v").alias("n_v"), F.min(F.array("c", "c2")).alias("c"))
         self.chances = self._chances(near)
         chance = F.create_map(*[F.lit(x) for kv in self.chances.items() for x in kv])
         found = near.unionByName(far.select("w", "n", "v", "n_v", "c")).withColumn("p", F.aggregate("c", F.lit(1.0), lambda a, x: a * F.coalesce(chance[x], F.lit(PRIOR))))
@@ -349,13 +379,8 @@ class Corpus:
         return {f"{s}>{t}": (hits.get(f"{s}>{t}", 0) + PRIOR * PRIOR_WEIGHT) / (chances[t] + PRIOR_WEIGHT) for s, ts in FORWARD for t in ts}
 
     def filter(self) -> np.ndarray:
-        """Bits of the doubtful words: at most ``FILTER_BITS`` / 64 rows reach the driver."""
-        h = F.xxhash64("w")
-        at = F.explode(F.array(h.bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(FILTER_BITS - 1))))
-        bits = self.doubtful.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toPandas()
-        out = np.zeros(FILTER_BITS // 64, np.uint64)
-        out[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).view(np.uint64)
-        return out
+        """Filter of the doubtful words."""
+        return filter_bits(self.doubtful, "w")
 
 
 class Channel:
@@ -430,16 +455,11 @@ class Scan:
     """Finds page matter and the lines that must be decoded; made once per Python worker."""
 
     def __init__(self, names: list[str], bits: np.ndarray):
-        import xxhash
-
-        self.pages, self.bits, self.hash = Pages(names), bits, xxhash.xxh64_intdigest
+        self.pages, self.doubtful = Pages(names), Filter(bits)
         self.trusted: set[str] = set()
 
     def may_be_doubtful(self, word: str) -> bool:
-        if is_number(word):
-            return True
-        h = self.hash(word.encode("utf-8", "surrogatepass"), seed=42)
-        return all(int(self.bits[at >> 6]) >> (at & 63) & 1 for at in (h & FILTER_BITS - 1, h >> 32 & FILTER_BITS - 1))
+        return is_number(word) or word in self.doubtful
 
     def _doubts(self, tokens: list[str]) -> bool:
         """Whether a token may be doubtful; trusted ones are remembered as they stand."""
@@ -473,8 +493,9 @@ class Scan:
             if broken:
                 wanted.update((broken[0], broken[1], broken[0] + broken[1], broken[0] + "-" + broken[1]))
             if self._doubts(tokens) or broken or len(unit) > 1:
-                cores = [c for t in tokens if (c := t.strip(_EDGES))]
-                doubts = [self.may_be_doubtful(c) for c in cores]
+                pairs = [(t, c) for t in tokens if (c := t.strip(_EDGES))]
+                cores = [c for _, c in pairs]
+                doubts = [t not in self.trusted and self.may_be_doubtful(c) for t, c in pairs]
                 for j, c in enumerate(cores):
                     # a broken word's neighbours on both lines count as well
                     if doubts[j] or broken and j >= len(cores) - 2 or len(unit) > 1 and j < 2 or j and doubts[j - 1] or j + 1 < len(cores) and doubts[j + 1]:
@@ -574,25 +595,24 @@ def paragraphs(lines: list[str | None]) -> str:
 
 
 
-_FACTS = "array<struct<w: string, n: bigint, options: array<struct<v: string, n: bigint, p: double>>, share: double>>"
-
-
-def _channel(facts: object, pairs: object, total: int) -> Channel:
+def _channel(facts: str | None, pairs: str | None, total: int) -> Channel:
+    """Channel over what was joined to a unit: a line a word, "word count share option count chance option ...", and a line a pair."""
     words: dict[str, int] = {}
     options: dict[str, list[tuple[str, float]]] = {}
     share: dict[str, float] = {}
-    for f in facts if facts is not None else ():
-        words[f["w"]] = int(f["n"])
-        if f["options"] is not None and len(f["options"]):
-            options[f["w"]] = [(o["v"], o["p"]) for o in f["options"]]
-            share[f["w"]] = f["share"]
-            for o in f["options"]:
-                words.setdefault(o["v"], int(o["n"]))
-    return Channel(words, options, share, {(x["a"], x["b"]): int(x["n"]) for x in pairs} if pairs is not None else {}, total)
+    for line in facts.split("\n") if facts else ():
+        w, n, part, *found = line.split(" ")
+        words[w] = int(n)
+        if found:
+            options[w] = [(found[i], float(found[i + 2])) for i in range(0, len(found), 3)]
+            share[w] = float(part)
+            for i in range(0, len(found), 3):
+                words.setdefault(found[i], int(found[i + 1]))
+    return Channel(words, options, share, {(a, b): int(n) for a, b, n in (x.split(" ") for x in pairs.split("\n"))} if pairs else {}, total)
 
 
-def _lines(value: object) -> list[tuple[int, str]]:
-    return [(int(x["no"]), x["text"]) for x in value]
+def _lines(value: str) -> list[tuple[int, str]]:
+    return [(int(no), x) for no, _, x in (part.partition("\t") for part in value.split("\n"))]
 
 
 def _decoded(df: DataFrame, names: DataFrame, key: str, own_id: str, text: str, name: str) -> DataFrame:
@@ -612,14 +632,17 @@ def _decoded(df: DataFrame, names: DataFrame, key: str, own_id: str, text: str,
             for k, own, value in zip(batch["key"], batch["own"], batch["text"], strict=True):
                 matter, units = scanner.scan(value, own)
                 rows += [(k, i, what, None, None) for i, what in sorted(matter.items())]
-                rows += [(k, lines[0][0], None, [{"no": i, "text": x} for i, x in lines], wanted) for lines, wanted in units]
+                rows += [(k, lines[0][0], None, "\n".join(f"{i}\t{x}" for i, x in lines), " ".join(wanted)) for lines, wanted in units]
             yield pd.DataFrame(rows, columns=["key", "no", "noise", "lines", "wanted"])
 
-    scanned = cut(body.mapInPandas(scan, f"key {kind}, no int, noise string, lines array<struct<no: int, text: string>>, wanted array<string>"))
+    scanned = cut(body.mapInPandas(scan, f"key {kind}, no int, noise string, lines string, wanted string"))
     units = scanned.where("lines is not null").select("key", "no", "lines")
-    asked = scanned.where("lines is not null").select("key", "no", F.explode("wanted").alias("w")).distinct()
+    asked = scanned.where("lines is not null").select("key", "no", F.explode(F.split("wanted", " ")).alias("w"))
     known = corpus.words.join(corpus.doubtful, "w", "left")
-    facts = asked.join(known, "w").groupBy("key", "no").agg(F.collect_list(F.struct("w", "n", "options", "share")).alias("facts"))
+    # words hold no white space, so what is known of them travels as plain text
+    option = F.transform("options", lambda x: F.concat_ws(" ", x["v"], x["n"], x["p"]))
+    fact = F.concat_ws(" ", "w", "n", F.coalesce("share", F.lit(1.0)), F.array_join(option, " "))
+    facts = asked.join(known.select("w", fact.alias("fact")), "w").groupBy("key", "no").agg(F.array_join(F.collect_list("fact"), "\n").alias("facts"))
     with_facts = units.join(facts, ["key", "no"])
 
     def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -633,8 +656,8 @@ def _decoded(df: DataFrame, names: DataFrame, key: str, own_id: str, text: str,
                 rows += [(k, no, a, b) for a, b in sorted(pairs)]
             yield pd.DataFrame(rows, columns=["key", "no", "a", "b"])
 
-    needed = with_facts.mapInPandas(wanted, f"key {kind}, no int, a string, b string").distinct()
-    pairs = needed.join(corpus.pairs, ["a", "b"]).groupBy("key", "no").agg(F.collect_list(F.struct("a", "b", "n")).alias("pairs"))
+    needed = with_facts.mapInPandas(wanted, f"key {kind}, no int, a string, b string")
+    pairs = needed.join(corpus.pairs, ["a", "b"]).groupBy("key", "no").agg(F.array_join(F.collect_list(F.concat_ws(" ", "a", "b", "n")), "\n").alias("pairs"))
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
