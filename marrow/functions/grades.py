@@ -18,6 +18,7 @@ WORDED = (
 )
 #: Whole entries and the grade they state.
 PLAIN = (("low", "G1"), ("low grade", "G1"), ("intermediate", "G2"), ("intermediate grade", "G2"), ("high", "G3"), ("high grade", "G3"))
+#: Patterns of a stated range and of a stated step.
 _RANGE = r"(?U)\bgrade\s*([1-4])\s*-\s*([1-4])\b"
 _NUMBER = r"(?U)\b(?:grade|nhg|g)\s*([1-4])\b"
 
