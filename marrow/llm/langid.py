@@ -61,6 +61,8 @@ DIMENSIONS, LONGEST = 8192, 4
 SHARPEN = 0.5
 #: Labelled rows the prototypes are bundled from, at most, and passages of them.
 SAMPLE_ROWS, SAMPLE_PASSAGES = 4000, 60_000
+#: Passages of the sample from which temperature and least cosines are taken, about.
+CALIBRATED = 10_000
 #: Share of the sample's passages that may fall below the least cosine of their length, and what is taken off it.
 FLOOR_SHARE, FLOOR_SLACK = 0.002, 0.8
 #: Lengths in words from which a least cosine of its own holds.
@@ -324,10 +326,12 @@ class Prototypes:
             made.margin = float(np.median(((right - others) / length)[sure]))
             judge = Judge(made)
             judge.learn(vocabulary)
-            held = [(words, k) for words, k, s in zip((p for p, _ in passages), label.tolist(), sure.tolist(), strict=True) if s]
+            # an even part of them is enough to calibrate on
+            some = np.flatnonzero(sure)[:: max(1, int(sure.sum()) // CALIBRATED)]
+            held = [(passages[i][0], label[i]) for i in some.tolist()]
             whole = np.stack([judge.cosine([judge.rows[w] for w in words]) for words, _ in held])
             short = np.stack([judge.cosine([judge.rows[w] for w in words[:MIN_WORDS]]) for words, _ in held])
-            made._calibrate(whole, short, label[sure], length[sure])
+            made._calibrate(whole, short, label[some], length[some])
         return made
 
     @staticmethod
@@ -412,11 +416,15 @@ class Judge:
         return self._cosine(self.table[rows].sum(0), rows)
 
     def _cosine(self, dot: np.ndarray, rows: list[int]) -> np.ndarray:
-        grams = np.concatenate([self.grams[r] for r in rows])
+        grams = np.concatenate(list(map(self.grams.__getitem__, rows)))
         grams.sort()
-        edges = np.flatnonzero(grams[1:] != grams[:-1])
-        n = np.diff(edges, prepend=-1, append=len(grams) - 1)
-        return dot / math.sqrt(DIMENSIONS * float(n @ n) + 1e-9)
+        edges = (grams[1:] != grams[:-1]).nonzero()[0]
+        if len(edges):
+            n = edges[1:] - edges[:-1]
+            squares = int(n @ n) + (int(edges[0]) + 1) ** 2 + (len(grams) - 1 - int(edges[-1])) ** 2
+        else:
+            squares = len(grams) ** 2
+        return dot / math.sqrt(DIMENSIONS * squares + 1e-9)
 
     def segments(self, text: str) -> list[tuple[str, int, float, str]]:
         """(language, words, confidence, passage) of consecutive words in one language."""
@@ -434,14 +442,8 @@ class Judge:
             return []
         rows = list(map(self.rows.__getitem__, words))
         each = self.table[rows]
-        path = self._path(each / model.margin, ended)
         found: list[tuple[str, int, int, float]] = []
-        a = 0
-        while a < len(path):
-            k = path[a]
-            b = a + 1
-            while b < len(path) and path[b] == k:
-                b += 1
+        for k, a, b in self._runs(each / model.margin, ended):
             cos = self._cosine(each[a:b].sum(0), rows[a:b])
             odds = np.exp((cos - cos.max()) / model.temperature)
             floor = model.floors[sum(b - a >= x for x in FLOOR_FROM) - 1]
@@ -453,12 +455,11 @@ class Judge:
                     found.append((OTHER, a, b, min(sure, 1.0)))
             else:
                 found.append((model.languages[k], a, b, float(odds[k] / odds.sum())))
-            a = b
         return [(lang, b - a, sure, " ".join(words[a:b]) if with_passage else "") for lang, a, b, sure in found]
 
     @classmethod
-    def _path(cls, each: np.ndarray, ended: list[bool]) -> list[int]:
-        """Likeliest language of each word.
+    def _runs(cls, each: np.ndarray, ended: list[bool]) -> list[tuple[int, int, int]]:
+        """(language, first word, word after the last) of the likeliest languages of the words.
 
         Each stretch in another language bears half of the costs of the switches at its ends. If no
         stretch gains more than that over one language throughout, that is the best path; else it
@@ -471,8 +472,10 @@ class Judge:
         run = np.zeros((n + 1, each.shape[1]), np.float32)
         (each - each[:, k : k + 1]).cumsum(0, out=run[1:])
         if (run - cost - np.minimum.accumulate(run + cost)).max() <= 0:
-            return [k] * n
-        return cls._decode(each.tolist(), ended)
+            return [(k, 0, n)]
+        path = cls._decode(each.tolist(), ended)
+        starts = [0, *(i for i in range(1, n) if path[i] != path[i - 1]), n]
+        return [(path[a], a, b) for a, b in zip(starts, starts[1:], strict=False)]
 
     @staticmethod
     def _decode(each: list[list[float]], ended: list[bool]) -> list[int]:

@@ -271,7 +271,8 @@ def test_vectors_scores_and_paths_equal_their_definitions(prototypes):
         for scale in (0.3, 1.5, 4):
             each, ended = r.normal(size=(n, 5)) * scale + np.repeat(r.normal(size=(n // 20 + 1, 5)), 20, 0)[:n], [bool(x) for x in r.integers(0, 2, n)]
             cost = lambda path, each=each, ended=ended, n=n: sum(each[i, k] for i, k in enumerate(path)) - sum((langid.SWITCH_END if ended[i] else langid.SWITCH_INSIDE) for i in range(n - 1) if path[i] != path[i + 1])
-            assert np.isclose(cost(langid.Judge._path(each, ended)), cost(langid.Judge._decode(each.tolist(), ended)), atol=1e-4)
+            path = [k for k, a, b in langid.Judge._runs(each, ended) for _ in range(a, b)]
+            assert np.isclose(cost(path), cost(langid.Judge._decode(each.tolist(), ended)), atol=1e-4)
 
 
 def noise_of(spark, texts, names=("Harrowgate Pathology Services",)):
